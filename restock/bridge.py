@@ -47,9 +47,7 @@ class Tables:
 
     # --- documents ---------------------------------------------------------------------------------
 
-    @cached_property
-    def document_lines(self) -> DataFrame:
-        """All document lines, soft-deleted ones included."""
+    def _document_lines(self, lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         qty = F.col("l_quantity").cast("bigint")
         recent = F.col("o_orderdate") >= F.lit(CHANGED_SINCE).cast("timestamp_ntz")
         status = (
@@ -59,8 +57,7 @@ class Tables:
             .otherwise("3")
         )
         return (
-            self.raw("lineitem")
-            .join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -95,10 +92,34 @@ class Tables:
             )
         )
 
+    @cached_property
+    def document_lines(self) -> DataFrame:
+        """All document lines, soft-deleted ones included."""
+        return self._document_lines(self.raw("lineitem"), self.raw("orders"))
+
+    # The views below filter the raw columns, so that the filters reach the file scans.
+
+    @cached_property
+    def _live_lineitem(self) -> DataFrame:
+        tax, discount = F.col("l_tax"), F.col("l_discount")
+        return self.raw("lineitem").filter((tax != 0) | (discount != 0) | tax.isNull() | discount.isNull())
+
     @cached_property
     def moves(self) -> DataFrame:
         """Document lines in force."""
-        return self.document_lines.filter(F.col("is_deleted") == "0")
+        return self._document_lines(self._live_lineitem, self.raw("orders"))
+
+    @cached_property
+    def recent_moves(self) -> DataFrame:
+        """Lines in force of the days in which documents may still be changed."""
+        since = F.lit(CHANGED_SINCE).cast("timestamp_ntz")
+        return self._document_lines(self._live_lineitem, self.raw("orders").filter(F.col("o_orderdate") >= since))
+
+    def lines_of_day(self, day: str) -> DataFrame:
+        """All lines of one day, soft-deleted ones included."""
+        start = F.lit(day).cast("timestamp_ntz")
+        on_day = (F.col("o_orderdate") >= start) & (F.col("o_orderdate") < F.lit(day).cast("date") + 1)
+        return self._document_lines(self.raw("lineitem"), self.raw("orders").filter(on_day))
 
     # --- dimensions --------------------------------------------------------------------------------
 

@@ -2,43 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions import columns as C
-from restock.functions.bundles import bundle, with_totals
-from restock.operators.lookups import complete_sizes, side_lookup
+from restock.functions.bundles import TOTAL, bundle, with_totals
+from restock.operators.lookups import side_lookup
 
 DOC_KEYS = ["doc", "out_org", "in_org", "skc"]
 SIDES = {"out": "out_org", "in": "in_org"}
 MODEL_SIDES = {"out": "model_out_org", "in": "model_in_org"}
+ATTRIBUTES = (
+    "run_day", "template", "batch", "source", "scene", "skc", "out_org", "in_org", "model_out_org", "model_in_org",
+    "plan_id", "collection_id",
+)
+QUANTITIES = ("model_qty", "human_qty")
+
+
+def _attributes() -> list[Column]:
+    """An attribute that differs between the lines of a document takes its greatest value, the day its first."""
+    return [F.min("day").alias("day"), *[F.max(c).alias(c) for c in ATTRIBUTES]]
 
 
 def headers(lines: DataFrame) -> DataFrame:
-    """One row per document; an attribute that differs between lines takes its greatest value."""
-    return lines.groupBy("doc").agg(
-        F.min("day").alias("day"),
-        *[
-            F.max(c).alias(c)
-            for c in (
-                "run_day", "template", "batch", "source", "scene", "skc", "out_org", "in_org",
-                "model_out_org", "model_in_org", "plan_id", "collection_id",
-            )
-        ],
-    )
+    """One row per document."""
+    return lines.groupBy("doc").agg(*_attributes())
+
+
+def profiles(lines: DataFrame, dim_sku: DataFrame) -> DataFrame:
+    """Document headers with ``sizes``: the quantities of every size of the article, and their total.
+
+    Lines are summed per size first, so a document of any length is gathered as one element per size.  The sizes
+    a document lacks are filled in from the list of its article instead of multiplying the documents by them.
+    """
+    per_size = lines.groupBy("doc", "size").agg(*[F.sum(q).alias(q) for q in QUANTITIES], *_attributes())
+    found = F.map_from_entries(F.collect_list(F.struct("size", F.struct(*QUANTITIES).alias("q"))))
+    docs = per_size.filter(F.col("size").isNotNull()).groupBy("doc").agg(*_attributes(), found.alias("found"))
+    listed = dim_sku.groupBy("skc").agg(F.sort_array(F.collect_set("size")).alias("listed"))
+
+    def quantity(size: Column, name: str) -> Column:
+        return F.try_element_at(F.col("found"), size)[name].alias(name)
+
+    detail = F.transform(
+        F.coalesce("listed", F.array().cast("array<string>")),
+        lambda s: F.struct(s.alias("size"), *[quantity(s, q) for q in QUANTITIES], F.lit(0).alias("grouping_id")),
+    )
+
+    def total(name: str) -> Column:
+        nothing = F.lit(None).cast("bigint")
+        return F.aggregate(F.col("detail")[name], nothing, lambda a, x: F.coalesce(a + x, a, x)).alias(name)
+
+    last = F.struct(F.lit(TOTAL).alias("size"), *[total(q) for q in QUANTITIES], F.lit(1).alias("grouping_id"))
+    return (
+        docs.join(listed, "skc", "left")
+        .withColumn("detail", detail)
+        .withColumn("sizes", F.concat("detail", F.array(last)))
+        .drop("found", "listed", "detail")
+    )
 
 
 def size_quantities(lines: DataFrame, dim_sku: DataFrame) -> DataFrame:
     """Model and human quantity of each document per size of its article, and in total."""
-    summed = lines.groupBy(*DOC_KEYS, "size").agg(
-        F.sum("model_qty").alias("model_qty"), F.sum("human_qty").alias("human_qty")
-    )
-    sizes = complete_sizes(lines.select(*DOC_KEYS).distinct(), dim_sku).drop("sku")
-    return with_totals(sizes.join(summed, [*DOC_KEYS, "size"], "left"), DOC_KEYS, ["model_qty", "human_qty"])
+    return profiles(lines, dim_sku).select(*DOC_KEYS, F.inline("sizes"))
+
+
+def quantity_bundle(name: str) -> Column:
+    """One quantity of a profile as a bundle."""
+    pairs = F.transform(F.sort_array("sizes"), lambda s: F.struct(s["size"].alias("key"), s[name].alias("value")))
+    return F.to_json(pairs, {"ignoreNullFields": "false"}).alias(name)
 
 
-def quantity_bundles(quantities: DataFrame) -> DataFrame:
-    return bundle(quantities, DOC_KEYS, ["model_qty", "human_qty"])
+def quantity_bundles(lines: DataFrame, dim_sku: DataFrame) -> DataFrame:
+    return profiles(lines, dim_sku).select(*DOC_KEYS, *[quantity_bundle(q) for q in QUANTITIES])
 
 
 def min_bundles(earlier_sizes: DataFrame) -> DataFrame:

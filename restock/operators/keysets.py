@@ -77,6 +77,6 @@ def by_key_set(df: DataFrame, keys: DataFrame, on: Sequence[str], columns: Seque
 
 
 def has_changes(lines: DataFrame) -> DataFrame:
-    """One row telling whether any line is changed; the scan stops at the first one found."""
+    """One row telling whether any line is changed; each task stops at the first one it finds."""
     found = lines.filter(C.is_changed("status")).select(F.lit(1).alias("one")).limit(1)
     return found.agg((F.count("*") > 0).alias("has_changes"))

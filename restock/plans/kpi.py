@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from restock.operators import tags as T
 from restock.operators.orgs import transfer_levels
+from restock.session import stage
 
 STAR = [
     "org", "sku", "skc", "step", "level", "size", "suit", "spu", "org_name", "region", "org_flag",
@@ -17,20 +18,38 @@ STAR = [
 ]
 
 
+def _org_cells(t) -> DataFrame:
+    """Quantities sent and received per (org, sku, step) of the updated orgs, from one pass over the moves."""
+    nothing = F.lit(0).cast("bigint")
+    sent = F.struct(
+        F.col("out_org").alias("org"), "model_qty", "human_qty", F.lit(1).alias("line"), nothing.alias("received")
+    )
+    received = F.struct(
+        F.col("in_org").alias("org"), nothing.alias("model_qty"), nothing.alias("human_qty"), F.lit(0).alias("line"),
+        F.col("human_qty").alias("received"),
+    )
+    sides = t.moves.select(F.inline(F.array(sent, received)), "sku", "skc", F.col("template").alias("step"))
+    return (
+        sides.join(t.updated_orgs, "org", "left_semi")
+        .groupBy("org", "sku", "skc", "step")
+        .agg(
+            F.sum("model_qty").alias("model_qty"),
+            F.sum("human_qty").alias("human_qty"),
+            F.sum("line").alias("line_count"),
+            F.sum("received").alias("received"),
+        )
+    )
+
+
 def star_join(t) -> DataFrame:
     """Moves, packages, targets and sales per (org, sku, step) with org, article and step attributes.
 
     The org filter comes first, so the facts are cut before they are aggregated and joined.
     """
-    updated = t.updated_orgs
-    lines = t.moves
-    sent = lines.join(updated.select(F.col("org").alias("out_org")), "out_org", "left_semi")
-    per_sku = sent.groupBy(F.col("out_org").alias("org"), "sku", "skc", F.col("template").alias("step")).agg(
-        F.sum("model_qty").alias("model_qty"), F.sum("human_qty").alias("human_qty"), F.count("*").alias("line_count")
-    )
-    packages_out = per_sku.groupBy("org", "step").agg(F.sum("model_qty").alias("send_package"))
-    packages_in = lines.groupBy(F.col("in_org").alias("org"), F.col("template").alias("step")).agg(
-        F.sum("human_qty").alias("receive_package")
+    cells = stage(_org_cells(t), "org-cells")
+    per_sku = cells.filter(F.col("line_count") > 0).drop("received")
+    packages = cells.groupBy("org", "step").agg(
+        F.sum("model_qty").alias("send_package"), F.sum("received").alias("receive_package")
     )
     targets = t.targets.groupBy("org", "sku").agg(F.sum("target").alias("target_qty"))
     steps = transfer_levels(t.templates, t.parameter_values).select(F.col("template").alias("step"), "level")
@@ -39,8 +58,7 @@ def star_join(t) -> DataFrame:
         F.max("p_retailprice").alias("tag_price")
     )
     return (
-        per_sku.join(packages_out, ["org", "step"])
-        .join(packages_in, ["org", "step"])
+        per_sku.join(packages, ["org", "step"])
         .join(targets, ["org", "sku"])
         .join(t.sales.select("org", "sku", "q7", "q14", "qt"), ["org", "sku"])
         .join(steps, "step")

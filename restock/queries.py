@@ -81,7 +81,7 @@ LINE = ["doc", "out_org", "in_org", "sku", "model_qty", "human_qty", "template",
 
 @query
 def scan_day_slice(t: Tables) -> DataFrame:
-    return TB.day_slice(t.document_lines, SLICE_DAY).select(*LINE)
+    return TB.day_slice(t.lines_of_day(SLICE_DAY), SLICE_DAY).select(*LINE)
 
 
 @query
@@ -176,7 +176,7 @@ def sink_distributed(t: Tables) -> DataFrame:
 
 @query
 def filter_changed_docs(t: Tables) -> DataFrame:
-    return t.moves.filter(C.is_changed("status")).select(*LINE)
+    return t.recent_moves.filter(C.is_changed("status")).select(*LINE)
 
 
 @query
@@ -214,7 +214,7 @@ def null_org_sentinel(t: Tables) -> DataFrame:
 
 @query
 def gate_has_changes(t: Tables) -> DataFrame:
-    return K.has_changes(t.moves)
+    return K.has_changes(t.recent_moves)
 
 
 @query
@@ -238,7 +238,7 @@ def top_rows(t: Tables) -> DataFrame:
 
 @query
 def semi_skc(t: Tables) -> DataFrame:
-    changed = t.moves.filter(C.is_changed("status")).select("skc").distinct()
+    changed = t.recent_moves.filter(C.is_changed("status")).select("skc").distinct()
     return K.by_key_set(t.part_classes.withColumnRenamed("p_brand", "skc"), changed, ["skc"]).select(
         "p_partkey", "skc", "p_type"
     )
@@ -247,13 +247,13 @@ def semi_skc(t: Tables) -> DataFrame:
 @query
 def in_subquery(t: Tables) -> DataFrame:
     """All lines of documents that have a changed line."""
-    return K.by_key_set(t.moves, publish.changed_documents(t.moves), ["doc"]).select(*LINE)
+    return K.by_key_set(t.moves, publish.changed_documents(t.recent_moves), ["doc"]).select(*LINE)
 
 
 @query
 def filter_by_key_set(t: Tables) -> DataFrame:
     """Stock of changed (org, skc) pairs, with the number of changed lines of the pair."""
-    changed = t.moves.filter(C.is_changed("status")).groupBy(F.col("out_org").alias("org"), "skc").agg(
+    changed = t.recent_moves.filter(C.is_changed("status")).groupBy(F.col("out_org").alias("org"), "skc").agg(
         F.count("*").alias("changed_lines")
     )
     stock = t.sku_org.select("org", "skc", "sku", "before_stock")
@@ -262,15 +262,13 @@ def filter_by_key_set(t: Tables) -> DataFrame:
 
 @query
 def affected_docs(t: Tables) -> DataFrame:
-    lines = t.moves
-    return K.touching(lines, K.changed_pairs(lines)).select(*LINE, "skc", "model_in_org")
+    return K.touching(t.moves, K.changed_pairs(t.recent_moves)).select(*LINE, "skc", "model_in_org")
 
 
 @query
 def store_c_anti(t: Tables) -> DataFrame:
-    lines = stage(t.moves.select(*K.ORG_ROLES, "skc", "status"), "roles")
-    pairs = stage(K.changed_pairs(lines), "changed")
-    return K.unchanged_pairs(K.touching(lines, pairs), pairs)
+    pairs = stage(K.changed_pairs(t.recent_moves), "changed")
+    return K.unchanged_pairs(K.touching(t.moves.select(*K.ORG_ROLES, "skc"), pairs), pairs)
 
 
 @query
@@ -402,7 +400,7 @@ def gs_doc_qty(t: Tables) -> DataFrame:
 
 @query
 def doc_qty_json(t: Tables) -> DataFrame:
-    return D.quantity_bundles(D.size_quantities(t.moves, _skus(t)))
+    return D.quantity_bundles(t.moves, _skus(t))
 
 
 @query
@@ -623,8 +621,7 @@ def _stored(t: Tables) -> DataFrame:
 
 def _fresh(t: Tables) -> DataFrame:
     """Recomputed rows of the changed documents."""
-    lines = t.moves
-    changed = K.by_key_set(lines, publish.changed_documents(lines), ["doc"])
+    changed = K.by_key_set(t.moves, publish.changed_documents(t.recent_moves), ["doc"])
     docs = changed.groupBy("doc", "batch").agg(F.sum("model_qty").alias("qty"))
     return docs.select(F.concat_ws("#", "doc", F.lit("new")).alias("id"), "doc", "qty", "batch")
 
@@ -647,12 +644,12 @@ def replace_by_key(t: Tables) -> DataFrame:
 @query
 def reset_status(t: Tables) -> DataFrame:
     lines = t.moves.select("doc", "sku", "status", "model_qty")
-    return publish.reset_status(lines, publish.changed_documents(t.moves))
+    return publish.reset_status(lines, publish.changed_documents(t.recent_moves))
 
 
 @query
 def listagg_roundtrip(t: Tables) -> DataFrame:
-    changed = t.moves.filter(C.is_changed("status"))
+    changed = t.recent_moves.filter(C.is_changed("status"))
     return U.split_lists(U.joined_lists(changed, "out_org", "doc"), "out_org", "doc")
 
 
@@ -742,17 +739,25 @@ def cdc_apply(t: Tables) -> DataFrame:
     return CH.apply(_stored_accounts(t), stage(_events(t), "events"), "id")
 
 
+def _write_queue(messages: DataFrame, path: str, parts: int) -> None:
+    """Messages in offset order: each part is written after the one before it, as a queue would deliver them."""
+    last = messages.agg(F.max("offset")).first()[0]
+    part = F.floor(F.col("offset") * parts / (last + 1))
+    for i in range(parts):
+        messages.filter(part == i).write.mode("append").parquet(path)
+
+
 @query
 def cdc_stream(t: Tables) -> DataFrame:
     """The same through a stream of several micro-batches, with a new base in between."""
     root = work_path(t.spark, "replica")
     queue = f"{root}/queue"
-    messages = _envelopes(t).repartitionByRange(4, "offset")
-    messages.write.parquet(queue)
+    messages = _envelopes(t)
+    _write_queue(messages, queue, 3)
     stored = _stored_accounts(t)
     replica = Replica(t.spark, f"{root}/table", CDC_TABLE, "id", stored.schema)
     replica.create(stored)
-    stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(queue)
+    stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(queue)
     replica.run(stream, f"{root}/checkpoint").awaitTermination()
     replica.compact(0)
     return replica.current()

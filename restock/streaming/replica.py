@@ -64,19 +64,20 @@ class Replica:
             .start()
         )
 
-    def current(self) -> DataFrame:
-        """The table as of the last logged batch."""
-        version, upto = self._pointer()
+    def current(self, upto: int | None = None) -> DataFrame:
+        """The table as of the last logged batch, or of an earlier one that is not yet part of the base."""
+        version, done = self._pointer()
         base = self.spark.read.schema(self.schema).parquet(f"{self.root}/base/{version}")
         try:
             log = self.spark.read.schema(EVENT_SCHEMA).parquet(self._log)
         except AnalysisException:  # nothing logged yet
             return base
-        return CH.apply(base, log.filter(F.col("batch") > upto), self.key)
+        new = F.col("batch") > done
+        return CH.apply(base, log.filter(new if upto is None else new & (F.col("batch") <= upto)), self.key)
 
     def compact(self, upto: int) -> None:
-        """Fold the log up to a batch into a new base.  Run it between micro-batches."""
-        self._write_base(self.current(), upto)
+        """Fold the log up to a batch into a new base."""
+        self._write_base(self.current(upto), upto)
 
     def _write_base(self, rows: DataFrame, upto: int) -> None:
         # Base names are fresh, so an interrupted write is never read.
