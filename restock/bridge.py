@@ -28,6 +28,21 @@ LABEL_CODE = "00014"
 LEVEL_NAMES = {"operating_unit": "UNIT", "region": "REGION", "store": "STORE"}
 TRANSFER_LEVELS = {"1-URGENT": ["region"], "2-HIGH": ["store"], "3-MEDIUM": ["store", "region"]}
 
+# Schemas of the tables read here; with them a read needs no job to look into the files first.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 STOCK_BASES = ["before_stock", "before_onroad_stock", "before_sub_stock", "before_include_stock"]
 
 
@@ -43,7 +58,10 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in SCHEMAS:
+            reader = reader.schema(SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     # --- documents ---------------------------------------------------------------------------------
 

@@ -23,33 +23,25 @@ def parse(envelopes: DataFrame, table: str) -> DataFrame:
 
     A nested object may be written as an object or as text holding one; both parse the same.
     """
+    # The message is parsed once and spread into columns before it is filtered.
+    message = F.from_json(F.col("value").cast("string"), ENVELOPE)
     return (
-        envelopes.select(F.struct(*POSITION).alias("seq"), F.from_json(F.col("value").cast("string"), ENVELOPE).alias("e"))
-        .filter(F.col("e.table") == table)
+        envelopes.select(F.struct(*POSITION).alias("seq"), F.inline(F.array(message)))
+        .filter(F.col("table") == table)
         .select(
             "seq",
-            F.col("e.shardingKey").alias("key"),
-            F.upper("e.type").alias("op"),
-            F.from_json("e.data", FIELDS).alias("data"),
-            F.from_json("e.oldData", FIELDS).alias("old"),
+            F.col("shardingKey").alias("key"),
+            F.upper("type").alias("op"),
+            F.from_json("data", FIELDS).alias("data"),
+            F.from_json("oldData", FIELDS).alias("old"),
         )
     )
 
 
 def known_fields(fields: Column, columns: Sequence[str]) -> Column:
     """Fields of the target table, names in lower case.  Of names differing only in case the last counts."""
-    wanted = F.array(*[F.lit(c.lower()) for c in columns])
-    entries = F.transform(
-        F.map_entries(F.coalesce(fields, F.create_map().cast(FIELDS))),
-        lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
-    )
-    kept = F.filter(entries, lambda e: F.array_contains(wanted, e["key"]))
-    names = F.transform(kept, lambda e: e["key"])
-
-    def is_last(e: Column, i: Column) -> Column:
-        return ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"])
-
-    return F.map_from_entries(F.filter(kept, is_last))
+    lowered = F.transform_keys(F.coalesce(fields, F.create_map().cast(FIELDS)), lambda k, v: F.lower(k))
+    return F.map_filter(lowered, lambda k, v: k.isin(*[c.lower() for c in columns]))
 
 
 def normalise(events: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -672,31 +672,33 @@ def _envelopes(t: Tables) -> DataFrame:
     Names differ in case from the target, one field is unknown to it, clicks nest their data as text, and the old
     data is partly stale or missing.
     """
-    e = t.raw("events")
-    kind = F.col("event_type")
-    op = F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").otherwise("UPDATE")
-    value, k = F.col("value").cast("decimal(12,2)").cast("string"), F.get_json_object("props", "$.k")
-    key = F.col("user_id").cast("string")
-    data = F.to_json(
-        F.struct(key.alias("ID"), value.alias("VALUE"), kind.alias("Event_Type"), k.alias("k"), F.col("props").alias("extra"))
-    )
-    same = F.when(F.col("value") < 5, value).otherwise("0.00")
-    old = F.to_json(F.struct(key.alias("ID"), same.alias("VALUE"), F.lit("view").alias("Event_Type"), k.alias("k")))
-    head = F.concat(
-        F.lit(f'{{"table":"{CDC_TABLE}","type":"'), op, F.lit('","shardingKey":"'), key, F.lit('"'),
+    kind, key = F.col("event_type"), F.col("user_id").cast("string")
+    value = F.col("value").cast("decimal(12,2)").cast("string")
+    e = t.raw("events").select(
+        "event_id", kind, key.alias("key"), value.alias("text"), F.get_json_object("props", "$.k").alias("k"),
+        F.when(F.col("value") < 5, value).otherwise("0.00").alias("old_text"), _escaped("props").alias("extra"),
+        F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").otherwise("UPDATE").alias("op"),
     )
-    as_text = F.to_json(F.struct(data.alias("data")))  # {"data":"{\"ID\":…}"}
-    body = F.when(kind == "click", F.substring(as_text, F.lit(2), F.length(as_text) - 2)).otherwise(
-        F.concat(F.lit('"data":'), data)
+    data = F.format_string(
+        '{"ID":"%s","VALUE":"%s","Event_Type":"%s","k":"%s","extra":"%s"}', "key", "text", "event_type", "k", "extra"
     )
-    tail = F.when(kind.isin("view", "click"), F.concat(F.lit(',"oldData":'), old)).otherwise("")
+    e = e.withColumn("data", data)
+    body = F.when(kind == "click", F.concat(F.lit('"'), _escaped("data"), F.lit('"'))).otherwise(F.col("data"))
+    old = F.format_string(',"oldData":{"ID":"%s","VALUE":"%s","Event_Type":"view","k":"%s"}', "key", "old_text", "k")
+    tail = F.when(kind.isin("view", "click"), old).otherwise("")
+    head = F.format_string(f'{{"table":"{CDC_TABLE}","type":"%s","shardingKey":"%s","data":', "op", "key")
     return e.select(
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
-        F.concat(head, F.lit(","), body, tail, F.lit("}")).alias("value"),
+        F.concat(head, body, tail, F.lit("}")).alias("value"),
     )
 
 
+def _escaped(c: str):
+    """Text as it is written inside a JSON string."""
+    return F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+
+
 def _stored_accounts(t: Tables) -> DataFrame:
     """Rows present before the events: customers with a low balance."""
     return t.raw("customer").filter(F.col("c_acctbal") < 5000).select(

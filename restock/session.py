@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Applied only where the session does not say otherwise.  Hot join keys are split by
-# adaptive execution even if that costs one more shuffle.
+# adaptive execution even if that costs one more shuffle; of a map key given twice the last value counts.
 DEFAULTS = {
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -63,6 +67,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/restock/{name}-{uuid.uuid4().hex}"
 
 
+def together(*builders: Callable[[], object]) -> None:
+    """Run independent jobs at the same time."""
+    with ThreadPoolExecutor(len(builders)) as pool:
+        for done in [pool.submit(inheritable_thread_target(b)) for b in builders]:
+            done.result()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once and read it back.
 
