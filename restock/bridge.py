@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock.functions import columns as C
+from restock.session import spread
 
 # Fixed values of the derived data set.
 AS_OF = "1998-07-01"  # day the sales windows end at
@@ -63,6 +65,14 @@ class Tables:
             reader = reader.schema(SCHEMAS[name])
         return reader.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return spread(self.raw("lineitem"))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return spread(self.raw("events"))
+
     # --- documents ---------------------------------------------------------------------------------
 
     def _document_lines(self, lineitem: DataFrame, orders: DataFrame) -> DataFrame:
@@ -113,14 +123,14 @@ class Tables:
     @cached_property
     def document_lines(self) -> DataFrame:
         """All document lines, soft-deleted ones included."""
-        return self._document_lines(self.raw("lineitem"), self.raw("orders"))
+        return self._document_lines(self.lineitem, self.raw("orders"))
 
     # The views below filter the raw columns, so that the filters reach the file scans.
 
     @cached_property
     def _live_lineitem(self) -> DataFrame:
         tax, discount = F.col("l_tax"), F.col("l_discount")
-        return self.raw("lineitem").filter((tax != 0) | (discount != 0) | tax.isNull() | discount.isNull())
+        return self.lineitem.filter((tax != 0) | (discount != 0) | tax.isNull() | discount.isNull())
 
     @cached_property
     def moves(self) -> DataFrame:
@@ -137,7 +147,7 @@ class Tables:
         """All lines of one day, soft-deleted ones included."""
         start = F.lit(day).cast("timestamp_ntz")
         on_day = (F.col("o_orderdate") >= start) & (F.col("o_orderdate") < F.lit(day).cast("date") + 1)
-        return self._document_lines(self.raw("lineitem"), self.raw("orders").filter(on_day))
+        return self._document_lines(self.lineitem, self.raw("orders").filter(on_day))
 
     # --- dimensions --------------------------------------------------------------------------------
 
@@ -256,15 +266,14 @@ class Tables:
 
     @cached_property
     def level_names(self) -> DataFrame:
-        return self.spark.createDataFrame(list(LEVEL_NAMES.items()), "level string, level_name string")
+        return self.spark.createDataFrame(pa.table({"level": list(LEVEL_NAMES), "level_name": list(LEVEL_NAMES.values())}))
 
     # --- facts by (org, sku) -----------------------------------------------------------------------
 
     @cached_property
     def _ledger(self) -> DataFrame:
         return (
-            self.raw("lineitem")
-            .join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            self.lineitem.join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 _text("s_nationkey").alias("org"),

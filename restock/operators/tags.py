@@ -21,12 +21,9 @@ def union_tags(keys: DataFrame, skc_tags: DataFrame, org_tags: DataFrame, pair_t
     return parts[0].select(*columns).unionByName(parts[1].select(*columns)).unionByName(parts[2].select(*columns))
 
 
-def tag_codes(*tag_tables: DataFrame) -> list[str]:
+def tag_codes(tags: DataFrame) -> list[str]:
     """Distinct tag codes, sorted.  The codes become columns, so there are few of them."""
-    codes: set[str] = set()
-    for tags in tag_tables:
-        codes.update(r.tag_code for r in tags.select("tag_code").distinct().collect())
-    return sorted(codes)
+    return sorted(r.tag_code for r in tags.select("tag_code").distinct().collect())
 
 
 def pivot_tags(tags: DataFrame, keys: Sequence[str], codes: Sequence[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from restock.operators import tags as T
 from restock.operators.orgs import transfer_levels
-from restock.session import stage
+from restock.session import stage, together
 
 STAR = [
     "org", "sku", "skc", "step", "level", "size", "suit", "spu", "org_name", "region", "org_flag",
@@ -77,4 +77,11 @@ def tag_union(t) -> DataFrame:
 
 def wide_table(t, codes: Sequence[str] | None = None) -> DataFrame:
     """Star rows with a column per tag code; rows without a tag keep NULL."""
-    return T.add_tags(star_join(t), t.skc_tags, t.org_tags, t.org_skc_tags, codes)
+    star, skc_tags, org_tags, pair_tags = together(
+        t.spark,
+        lambda: star_join(t),
+        lambda: stage(t.skc_tags, "skc-tags"),
+        lambda: stage(t.org_tags, "org-tags"),
+        lambda: stage(t.org_skc_tags, "pair-tags"),
+    )
+    return T.add_tags(star, skc_tags, org_tags, pair_tags, codes)

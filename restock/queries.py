@@ -38,7 +38,6 @@ CATALOGUE: dict[str, Query] = {}
 SLICE_DAY = "1998-07-01"
 SYNC_BATCHES = (1996, 1998)
 SYNC_MONTH = "1998-07-01"
-TAG_CODES = ("max_size", "region", "return_flag")
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -167,7 +166,7 @@ def sync_catalog_plan(t: Tables) -> DataFrame:
 @query
 def sink_distributed(t: Tables) -> DataFrame:
     """The wide table through the distributed sink; its decimals are shown as doubles."""
-    stored = TB.write_distributed(kpi.wide_table(t, None), work_path(t.spark, "wide"), "skc")
+    stored = TB.write_distributed(kpi.wide_table(t), work_path(t.spark, "wide"), "skc")
     return _as_double(stored, "tag_price")
 
 
@@ -674,7 +673,7 @@ def _envelopes(t: Tables) -> DataFrame:
     """
     kind, key = F.col("event_type"), F.col("user_id").cast("string")
     value = F.col("value").cast("decimal(12,2)").cast("string")
-    e = t.raw("events").select(
+    e = t.events.select(
         "event_id", kind, key.alias("key"), value.alias("text"), F.get_json_object("props", "$.k").alias("k"),
         F.when(F.col("value") < 5, value).otherwise("0.00").alias("old_text"), _escaped("props").alias("extra"),
         F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").otherwise("UPDATE").alias("op"),

@@ -6,10 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Applied only where the session does not say otherwise.  Hot join keys are split by
 # adaptive execution even if that costs one more shuffle; of a map key given twice the last value counts.
 DEFAULTS = {
@@ -67,11 +70,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/restock/{name}-{uuid.uuid4().hex}"
 
 
-def together(*builders: Callable[[], object]) -> None:
-    """Run independent jobs at the same time."""
+def together(spark: SparkSession, *builders: Callable[[], T]) -> list[T]:
+    """Run independent jobs at the same time and return their results."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(builders)) as pool:
-        for done in [pool.submit(inheritable_thread_target(b)) for b in builders]:
-            done.result()
+        return [job.result() for job in [pool.submit(inherit(b)) for b in builders]]
+
+
+def spread(df: DataFrame, few: int = 16) -> DataFrame:
+    """Use all cores on a table that comes in a few splits only, such as one small file.
+
+    A table of any size to speak of has more splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, few) else df
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def sync_day(source: DataFrame, target_path: str, day: str, column: str = "day_d
 def catalog_columns(tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
     """Column list of some tables as rows, from their schemas."""
     rows = [(name, f.name, f.dataType.simpleString()) for name, df in tables.items() for f in df.schema.fields]
-    return spark.createDataFrame(rows, "table string, column string, type string")
+    return spark.createDataFrame(pa.table(list(zip(*rows)), names=["table", "column", "type"]))
 
 
 def sync_plan(columns: DataFrame, deny: Iterable[str] = (), batch_column: str = "batch_id") -> DataFrame:

@@ -8,6 +8,7 @@ in the pointer, which is written last.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -81,9 +82,9 @@ class Replica:
 
     def _write_base(self, rows: DataFrame, upto: int) -> None:
         # Base names are fresh, so an interrupted write is never read.
-        version = f"upto={upto}-{self.spark.sql('select uuid()').first()[0]}"
+        version = f"upto={upto}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/base/{version}")
-        pointer = self.spark.createDataFrame([(version, upto)], "version string, upto bigint")
+        pointer = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(upto).cast("bigint").alias("upto"))
         pointer.coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
 
     def _pointer(self) -> tuple[str, int]:
