@@ -28,26 +28,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# NULL is written as \N and the empty text as two quotes.
+CSV = {
+    "header": "true",
+    "nullValue": "\\N",
+    "escape": '"',
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(df: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite") -> None:
-    """CSV with a header.  Text is quoted as needed and NULL is told from the empty text."""
-    df.write.mode(mode).option("header", True).option("compression", compression).option("nullValue", "\\N").option(
-        "emptyValue", ""
-    ).option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+    """CSV with a header, compressed by default."""
+    df.write.mode(mode).options(**CSV).option("compression", compression).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and a declared schema; a value that does not fit stops the load."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", "\\N")
-        .option("emptyValue", "")
-        .option("escape", '"')
-        .option("multiLine", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    return spark.read.schema(schema).options(**CSV).option("mode", "FAILFAST").csv(path)
 
 
 def create_table_as(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,10 +94,17 @@ def test_message_options():
     assert EX.jdbc_options("jdbc:x")["pushDownPredicate"] == "true"
 
 
-def test_the_shared_folder_is_the_one_the_session_names(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared/")
-    try:
-        assert shared_folder(spark) == f"{tmp_path}/shared"
-        assert work_path(spark, "x").startswith(f"{tmp_path}/shared/restock/x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def session_stub(named, master):
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master=master, applicationId=f"app-{master}")
+    return SimpleNamespace(conf={"spark.checkpoint.dir": named} if named else {}, sparkContext=context)
+
+
+def test_the_shared_folder_is_the_one_the_session_names():
+    assert shared_folder(session_stub("hdfs://x/shared/", "yarn")) == "hdfs://x/shared"
+    assert work_path(session_stub("hdfs://x/shared/", "yarn"), "a").startswith("hdfs://x/shared/restock/a-")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError):
+        shared_folder(session_stub(None, "yarn"))
+    assert shared_folder(session_stub(None, "local[2]"))
