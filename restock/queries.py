@@ -740,26 +740,25 @@ def cdc_apply(t: Tables) -> DataFrame:
     return CH.apply(_stored_accounts(t), stage(_events(t), "events"), "id")
 
 
-def _write_queue(messages: DataFrame, path: str, parts: int) -> None:
-    """Messages in offset order: each part is written after the one before it, as a queue would deliver them."""
+def _in_offset_order(messages: DataFrame, parts: int) -> list[DataFrame]:
+    """Messages cut into parts by offset, as a queue would deliver them."""
     last = messages.agg(F.max("offset")).first()[0]
     part = F.floor(F.col("offset") * parts / (last + 1))
-    for i in range(parts):
-        messages.filter(part == i).write.mode("append").parquet(path)
+    return [messages.filter(part == i) for i in range(parts)]
 
 
 @query
 def cdc_stream(t: Tables) -> DataFrame:
-    """The same through a stream of several micro-batches, with a new base in between."""
+    """The same through a stream that is stopped and resumed as messages arrive, with a new base in between."""
     root = work_path(t.spark, "replica")
-    queue = f"{root}/queue"
-    messages = _envelopes(t)
-    _write_queue(messages, queue, 3)
+    messages, queue = stage(_envelopes(t), "messages"), f"{root}/queue"
     stored = _stored_accounts(t)
     replica = Replica(t.spark, f"{root}/table", CDC_TABLE, "id", stored.schema)
     replica.create(stored)
-    stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(queue)
-    replica.run(stream, f"{root}/checkpoint").awaitTermination()
+    for arrived in _in_offset_order(messages, 3):
+        arrived.write.mode("append").parquet(queue)
+        stream = t.spark.readStream.schema(messages.schema).parquet(queue)
+        replica.run(stream, f"{root}/checkpoint").awaitTermination()
     replica.compact(0)
     return replica.current()
 
