@@ -24,7 +24,7 @@ from restock.operators import tags as T
 from restock.operators import upserts as U
 from restock.plans import kpi, publish
 from restock.plans.detail import BASES as DETAIL_BASES
-from restock.plans.detail import Detail, earlier_bundles
+from restock.plans.detail import Detail
 from restock.session import configure, stage, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
