@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restock.llm import exact, mixing, packed, piece, sharding, tokencount
+from restock.llm import exact, labelled, mixing, near, packed, piece, quality, sharding, tokencount, topk, toxicity
 from restock.session import configure
 
 
@@ -15,11 +15,23 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = _read(spark, folder, "documents"), labelled.in_fold("doc_id", 3, 1)
+    forest = quality.train(labelled.sample(documents, _read(spark, folder, "labels"), "quality", held_out))
+    scored = documents.select("doc_id", held_out.alias("held_out"), quality.score(F.col("text"), forest).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.groups(_read(spark, folder, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    segments = topk.index(_read(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("embedding"), "vec_id")
+    return topk.search(segments, 50, 5).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = _read(spark, folder, "documents").select(
@@ -35,6 +47,19 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.taken.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    links = near.Links(near.written(_read(spark, folder, "documents").select("doc_id", "text")), width=2)
+    found = links.components().withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = _read(spark, folder, "documents"), labelled.in_fold("doc_id", 4, 2)
+    model = toxicity.train(labelled.sample(documents, _read(spark, folder, "labels"), "toxic", held_out))
+    scored = documents.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     ids = _read(spark, folder, "documents").select("doc_id", piece.encode(F.col("text"), model).alias("ids"))
@@ -58,9 +83,13 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CATALOGUE = {
+    "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_near_dedup": op3_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_packed_ids": op6_packed_ids,
+    "op7_topk": op7_topk,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
