@@ -12,9 +12,9 @@ ORACLE = {
     """,
     "op7_topk": """
         with v as (
-            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as q
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
             from embeddings
-            where embedding is not null and list_bool_and(list_transform(embedding, x -> coalesce(isfinite(x), false)))
+            where embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
         ), scored as (
             select a.vec_id as query_id, b.vec_id, cast(list_inner_product(cast(a.q as double[]), cast(b.q as double[])) as bigint) as score
             from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
