@@ -112,6 +112,7 @@ def groups(rows: DataFrame, text: str = "text", id_column: str = "doc_id", at: s
         F.count("*").alias("group_size"),
         F.coalesce(F.min_by("at", "id"), F.min("at")).alias("keep_at"),
     )
+    met = stage(met, "exact-groups")  # both sides of the join then are plain exchanges, and a hot name is split
     return found.join(met, ["level", "name"]).select(
         "at", "id", "keep_id", "group_size", (F.col("at") == F.col("keep_at")).alias("kept"), "text_sha256"
     )
