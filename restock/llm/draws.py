@@ -101,7 +101,8 @@ def split(leaves: DataFrame, pools: DataFrame, count: int, seed: int, fan: int =
         )
         families.append(family.select("node", "children"))
         sizes.append(family.select("node", "size"))
-    nodes = pools.select(F.lit(0).cast(LONG).alias("node"), F.col("pools").alias("quota"))
+    root = F.pmod(F.size("pools"), F.lit(1)).cast(LONG)  # 0, but no constant: the join below stays one on equal keys
+    nodes = pools.select(root.alias("node"), F.col("pools").alias("quota"))
     if not depth:
         return nodes.select(F.col("node").alias("leaf"), "quota")
     for level in reversed(range(depth)):
