@@ -120,7 +120,8 @@ class Mix:
         quotas = quotas.withColumn("base", F.coalesce(F.sum("n").over(so_far), F.lit(0))).filter("n > 0")
         self.quotas = stage(quotas, "mix-quotas")
         drawn = self.quotas.select("shard", "source_no", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("position"))
-        drawn = drawn.join(listed, ["source_no", "position"])
+        # The positions are far more than the size of the quotas lets the planner expect, so no broadcast is to be tried.
+        drawn = drawn.join(listed.hint("merge"), ["source_no", "position"])
         order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit("slot"), "source_no", "position"), "source_no", "position")
         self.drawn = drawn.withColumn("slot", F.row_number().over(order) - 1)
 
