@@ -7,7 +7,8 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -22,7 +23,7 @@ MAGIC = b"IDBLOCK1"
 HEAD = struct.Struct("<8sIIQQQ")  # at the file's end: magic, bits, ids a block, blocks, documents, ids
 BLOCK_IDS = 65_536
 READ_IDS = 1 << 20
-KEPT = 200_000
+KEPT = 500_000
 KEPT_CHARS = 40
 BATCH_CHARS = 4_000_000
 
@@ -44,6 +45,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
     """The ``count`` ids in ``data``, as unsigned 32-bit integers."""
+    if not count:
+        return np.zeros(0, np.uint32)
     octets = np.zeros((count, 4), np.uint8)
     if bits % 8 == 0:
         octets[:, : bits // 8] = np.frombuffer(data, np.uint8)[: count * bits // 8].reshape(count, -1)
@@ -155,14 +158,18 @@ class Reader:
 
 
 class Tokens:
-    """The ids that the tokenizers library gives for whole texts, with words looked up that were met before.
+    """The ids that the tokenizers library gives for whole texts, with pre-tokens looked up that were met before.
 
-    A single space between two characters that are no white space always starts a new pre-token, and pre-tokens are
-    encoded on their own; so a text is cut there, and only parts that are new go to the library.  A text with any
-    other space goes to it whole.  What was met is held in two generations of bounded size.
+    The library's byte-level pre-tokens are encoded on their own, so a text is cut into these, and only new ones go to the
+    library.  They are cut by the library's rule, written out for the common characters of Latin script; a text with any
+    other character goes to the library whole.  What was met is held in two generations of bounded size.
     """
 
-    ODD = re.compile(r" \s|\s |^ | $")
+    SPACE, LETTER, NUMBER = "\t-\r \xa0", "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+    ODD = re.compile("[^\t-\r -~\xa0-\u024f\u2010-\u2027\u20ac]")
+    CUT = re.compile(
+        f"'(?:[stmd]|re|ve|ll)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+    )
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -173,30 +180,32 @@ class Tokens:
         self.old: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = []
-        for t in texts:
-            if self.ODD.search(t):
-                parts.append([t])
-            else:
-                first, *more = t.split(" ")
-                parts.append([first, *[" " + w for w in more]] if t else [])
+    def _known(self, words: Iterable[str]) -> dict[str, bytes]:
+        """A dict that has all the words."""
         if len(self.young) >= KEPT:
             self.old, self.young = self.young, {}
-        own, old = self.young, self.old
-        new = set(chain.from_iterable(parts)).difference(own)
-        for w in [w for w in new if w in old]:
-            own[w] = old[w]
-            new.remove(w)
-        once = {}
-        wanted = list(new)
-        for w, ids in zip(wanted, self._library(wanted), strict=True):
-            (own if len(w) <= KEPT_CHARS else once)[w] = ids
-        if not once:
-            return [b"".join(map(own.__getitem__, p)) for p in parts]
-        return [b"".join([own.get(w) or once.get(w, b"") for w in p]) for p in parts]
+        own, old, new = self.young, self.old, []
+        for w in set(words).difference(own):
+            ids = old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                own[w] = ids
+        found = dict(zip(new, self._library(new), strict=True))
+        if not found or len(max(found, key=len)) <= KEPT_CHARS:
+            own.update(found)
+            return own
+        own.update((w, ids) for w, ids in found.items() if len(w) <= KEPT_CHARS)
+        return own | found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = [t for t in texts if self.ODD.search(t)]
+        whole = dict(zip(odd, self._library(odd), strict=True))
+        cut = [[] if t in whole else self.CUT.findall(t) for t in texts]
+        get = self._known(chain.from_iterable(cut)).__getitem__
+        return [whole[t] if t in whole else b"".join(map(get, words)) for t, words in zip(texts, cut, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
