@@ -5,7 +5,9 @@ from __future__ import annotations
 import codecs
 import functools
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNKNOWN = " ⁇ "
 SEGMENT = re.compile(" *[^ ]+| +")
-KEPT = 150_000
+APART = "\ud800"
+KEPT = 300_000
 KEPT_CHARS = 48
 PAIRS = 1_000_000
 
@@ -70,8 +73,9 @@ class Encoder:
         self.by_word = not any(" " in p.lstrip(" ") for p in self.ids)
         self.matches = ahocorasick.Automaton()
         for p in self.ids:
-            self.matches.add_word(p, p)
+            self.matches.add_word(p, (p, len(p) - 1))
         self.matches.make_automaton()
+        self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), "") for p in self.ids}
         self.fits: dict[tuple[str, str], bool] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -89,88 +93,86 @@ class Encoder:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _fit(self, pair: tuple[str, str]) -> bool:
-        if len(self.fits) >= PAIRS:
-            self.fits.clear()
-        found = self.fits[pair] = self._merges(pair[0] + pair[1]) == list(pair)
+    def _longest(self, text: str) -> list[str]:
+        """The longest piece from each place on, or the character there."""
+        found = list(text)
+        for last, (piece, back) in self.matches.iter(text):
+            found[last - back] = piece  # of one place, longer ones come later
         return found
 
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a text without its begin and end."""
-        size = len(text)
-        starts: list[list[str]] = [[] for _ in range(size)]
-        for last, piece in self.matches.iter(text):
-            starts[last + 1 - len(piece)].append(piece)  # shorter ones come first
-        failed = bytearray(size // 8 + 1)
-        fits, path, left, at = self.fits, [], [], 0
-        choices = None
-        while at < size:
-            if choices is None:
-                choices = starts[at]
-                if not choices or len(choices[0]) > 1:
-                    choices = [text[at], *choices]
-                tries = len(choices)
-            before = path[-1] if path else None
-            while tries:
-                tries -= 1
-                piece = choices[tries]
+    def _path(self, longest: list[str], at: int, end: int) -> list[str]:
+        """The pieces from ``at`` to ``end``."""
+        fits, shorter, path, begin, failed = self.fits, self.shorter, [], at, None
+        before, piece = "", longest[at]
+        while True:
+            if piece:
                 stop = at + len(piece)
-                if failed[stop >> 3] >> (stop & 7) & 1:
-                    continue
-                if before is None:
-                    ok = len(piece) == 1 or self._whole(piece)
-                else:
+                if failed is None or not failed[(stop - begin) >> 3] >> ((stop - begin) & 7) & 1:
                     ok = fits.get((before, piece))
                     if ok is None:
-                        ok = self._fit((before, piece))
-                if ok:
-                    path.append(piece)
-                    left.append((choices, tries))
-                    at, choices = stop, None
-                    break
-            else:
-                if not path:
-                    raise ValueError("no row of pieces is the merge of this text")
-                failed[at >> 3] |= 1 << (at & 7)
-                choices, tries = left.pop()
-                at -= len(path.pop())
-        return path
-
-    def _whole(self, piece: str) -> bool:
-        found = self.fits.get((piece, ""))
-        if found is None:
-            found = self.fits[piece, ""] = self._merges(piece) == [piece]
+                        ok = self._fit(before, piece)
+                    if ok:
+                        path.append(piece)
+                        if stop == end:
+                            return path
+                        at, before, piece = stop, piece, longest[stop]
+                        continue
+                piece = shorter.get(piece) or (piece[0] if len(piece) > 1 else "")
+                continue
+            if not path:
+                raise ValueError("no row of pieces is the merge of this text")
+            if failed is None:
+                failed = bytearray((end - begin >> 3) + 1)
+            failed[(at - begin) >> 3] |= 1 << ((at - begin) & 7)
+            last = path.pop()
+            at -= len(last)
+            before = path[-1] if path else ""
+            piece = shorter.get(last) or (last[0] if len(last) > 1 else "")
+
+    def _fit(self, before: str, piece: str) -> bool:
+        """Whether the two, merged again, come out as themselves; at a text's start, whether the piece does."""
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
+        found = self.fits[before, piece] = self._merges(before + piece) == ([before, piece] if before else [piece])
         return found
 
-    def _ids(self, text: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces(text):
-            known = self.ids.get(piece)
-            ids.extend([self.byte[b] for b in piece.encode("utf-8", "replace")] if known is None else [known])
-        return np.array(ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self._ids(word)
-        if len(word) <= KEPT_CHARS:
-            if len(self.young) >= KEPT:
-                self.old, self.young = self.young, {}
-            self.young[word] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        """All ids, begin and end included, as little-endian unsigned 32-bit integers."""
-        parts = [np.array([self.begin], "<u4").tobytes()]
-        if text:
-            text = " " + text.replace(MARK, " ")
-            if self.by_word:
-                for word in SEGMENT.findall(text):
-                    parts.append(self.young.get(word) or self._word(word))
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text without its begin and end."""
+        return self._path(self._longest(text), 0, len(text)) if text else []
+
+    def _ids(self, path: list[str]) -> bytes:
+        ids = list(map(self.ids.get, path))
+        if None in ids:
+            ids = [i for p, k in zip(path, ids, strict=True) for i in ([self.byte[b] for b in p.encode("utf-8", "replace")] if k is None else [k])]
+        return array("I", ids).tobytes()
+
+    def _known(self, words: Iterable[str]) -> dict[str, bytes]:
+        """A dict that has all the words; new ones are matched in one go, each after a character that no text has."""
+        if len(self.young) >= KEPT:
+            self.old, self.young = self.young, {}
+        own, old, new = self.young, self.old, []
+        for w in set(words).difference(own):
+            ids = old.get(w)
+            if ids is None:
+                new.append(w)
             else:
-                parts.append(self._ids(text))
-        parts.append(np.array([self.end], "<u4").tobytes())
-        return b"".join(parts)
+                own[w] = ids
+        longest, at, long = self._longest(APART.join(new)), 0, {}
+        for w in new:
+            end = at + len(w)
+            (own if len(w) <= KEPT_CHARS else long)[w] = self._ids(self._path(longest, at, end))
+            at = end + 1
+        return own | long if long else own
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """All ids of each text, begin and end included, as little-endian unsigned 32-bit integers."""
+        begin, end = array("I", [self.begin]).tobytes(), array("I", [self.end]).tobytes()
+        marked = [" " + t.replace(MARK, " ") if t else "" for t in texts]
+        if not self.by_word:
+            return [begin + self._ids(self.pieces(t)) + end for t in marked]
+        cut = [SEGMENT.findall(t) for t in marked]
+        get = self._known(chain.from_iterable(cut)).__getitem__
+        return [b"".join([begin, *map(get, words), end]) for words in cut]
 
     def decode(self, data: bytes) -> str:
         """The text of ids: control ids are silent, runs of byte pieces are UTF-8, one mark at the start goes."""
@@ -197,7 +199,7 @@ def encode(text: Column, path: str) -> Column:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = encoder(path)
         for texts in batches:
-            yield pd.Series([own.encode(t) for t in texts], dtype=object)
+            yield pd.Series(own.encode(texts), dtype=object)
 
     return ids(text)
 

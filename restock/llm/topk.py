@@ -162,7 +162,7 @@ def search(segments: DataFrame, every: int, k: int) -> DataFrame:
                 for i in asked:
                     _, found = _search(vectors[i], ids[i], -(2**63), ids, vectors, high, low, k)
                     floors.append(int(found[-1]) if len(found) == k else -(2**63))
-                yield pd.DataFrame({"segment": r.segment, "query_id": ids[asked], "q": list(vectors[asked]), "floor": np.array(floors, np.int64)})
+                yield pd.DataFrame({"segment": r.segment, "query_id": ids[asked], "q": pd.Series(list(vectors[asked]), dtype=object), "floor": np.array(floors, np.int64)})
 
     asked = stage(segments.mapInPandas(ask, "segment long, query_id long, q array<long>, floor long"), "topk-queries")
     groups = max(1, -(-asked.count() // GROUP_QUERIES))

@@ -22,7 +22,7 @@ def encoder():
 
 
 def same(encoder, text):
-    data = encoder.encode(text)
+    data = encoder.encode([text])[0]
     expected = LIBRARY.encode(text or "", add_bos=True, add_eos=True)
     assert np.frombuffer(data, "<u4").tolist() == expected
     assert encoder.decode(data) == LIBRARY.decode(expected)
