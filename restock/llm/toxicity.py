@@ -15,9 +15,8 @@ from restock.session import stage
 
 SENTENCE = re.compile("[^.!?\n]+[.!?]*")
 WORD = re.compile(r"[^\W\d_]+")
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 FEATURES = 3000
-SURE = 15.0
 
 
 def marks(word: str) -> list[str]:
@@ -82,7 +81,8 @@ def screen(labelled: DataFrame, most: int = FEATURES) -> list[str]:
     total = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("t")).first()
     if not 0 < total.t < total.n:
         return []
-    counted = labelled.select("label", F.explode(found(F.col("text"))).alias("mark")).groupBy("mark").agg(F.count("*").cast("double").alias("n"), F.sum("label").cast("double").alias("t"))
+    counted = labelled.select("label", F.explode(found(F.col("text"))).alias("mark")).groupBy("mark")
+    counted = stage(counted.agg(F.count("*").cast("double").alias("n"), F.sum("label").cast("double").alias("t")), "toxicity-marks")
     share = F.lit(total.t / total.n)
 
     def part(seen, due):
@@ -90,7 +90,7 @@ def screen(labelled: DataFrame, most: int = FEATURES) -> list[str]:
 
     sure = 2 * (part(F.col("t"), F.col("n") * share) + part(F.col("n") - F.col("t"), F.col("n") * (1 - share)))
     lean = (F.col("t") / total.t) / F.greatest((F.col("n") - F.col("t")) / (total.n - total.t), F.lit(0.5 / (total.n - total.t)))
-    least = F.lit(min(SURE, 0.9 * 2 * 2 * np.log(total.n / total.t)))  # two documents are enough where labels are few
+    least = 2 * np.log(max(2, counted.count()))  # so that among all marks hardly one passes by chance
     kept = counted.withColumn("sure", sure).filter((F.col("sure") >= least) & (lean >= 4)).orderBy(F.desc("sure"), "mark").limit(most)
     return sorted(r["mark"] for r in kept.select("mark").collect())
 
