@@ -19,6 +19,8 @@ SYMBOLS = 96  # of 16 bits each
 DISTANCE = 35  # symbols in which a pair may differ; at a similarity of 0.8 the mean is 19.2, the deviation 3.9
 ERRORS = 1  # symbols in which a chunk may differ
 PERCENT = 80
+SKETCH = ["s0", "s1", "s2"]
+LEAD = ["l0", "l1", "l2"]
 KEPT = 300_000
 STEP = 4096
 SLOTS = 1 << 20
@@ -103,8 +105,23 @@ def keys(signatures: np.ndarray, distance: int = DISTANCE, errors: int = ERRORS)
     return np.stack(out, 1).view(np.int64)
 
 
+def sketch(signatures: np.ndarray) -> np.ndarray:
+    """Two bits of each symbol, 32 symbols in a 64-bit integer; one row each."""
+    two = (signatures & 3).astype(np.uint64).reshape(len(signatures), -1, 32)
+    return (two << np.arange(0, 64, 2, dtype=np.uint64)).sum(2, dtype=np.uint64).view(np.int64)
+
+
+def _near(a: list[str], b: list[str], distance: int) -> Column:
+    """Whether sketches differ in no more symbols than allowed.  True for all signatures within the distance."""
+    total = F.lit(0)
+    for x, y in zip(a, b, strict=True):
+        d = F.col(x).bitwiseXOR(F.col(y))
+        total = total + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total <= distance
+
+
 def _describe(text: Column, width: int) -> Column:
-    @F.pandas_udf("n long, d1 long, d2 long, signature binary")
+    @F.pandas_udf("n long, d1 long, d2 long, signature binary, " + ", ".join(f"{c} long" for c in SKETCH))
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             n, d, s = [], [], []
@@ -114,7 +131,11 @@ def _describe(text: Column, width: int) -> Column:
                 d.append(np.frombuffer(hashlib.blake2b(values.tobytes(), digest_size=16).digest(), "<i8"))
                 s.append(signature(values))
             d = np.array(d).reshape(len(n), 2)
-            yield pd.DataFrame({"n": np.array(n, np.int64), "d1": d[:, 0], "d2": d[:, 1], "signature": pd.Series(s, dtype=object)})
+            bits = sketch(np.frombuffer(b"".join(s), "<u2").reshape(len(n), SYMBOLS))
+            yield pd.DataFrame(
+                {"n": np.array(n, np.int64), "d1": d[:, 0], "d2": d[:, 1], "signature": pd.Series(s, dtype=object)}
+                | {c: bits[:, i] for i, c in enumerate(SKETCH)}
+            )
 
     return describe(text)
 
@@ -192,7 +213,8 @@ class Links:
 
     Rows with one set of shingles are one class, and only classes are compared.  Two classes are candidates if
     their signatures differ in ``distance`` symbols at most: by the pigeonhole, they then share a key of ``keys``.  Each key
-    is a bucket.  Candidates that pass the signatures' distance and the sets' sizes are confirmed on the full texts.
+    is a bucket, whose rows carry two bits of each symbol, so that most pairs that are too far apart never leave the join.
+    Candidates that pass the signatures' distance and the sets' sizes are confirmed on the full texts.
 
     Members of a bucket that are in one component already need no pair.  So a bucket's members are first compared with its
     least member, then those outside its largest component with a member of that; at last all pairs of a bucket that
@@ -210,33 +232,47 @@ class Links:
             "near-classes",
         )
         chosen = some.join(self.classes.select(F.col("class").alias("at")), "at", "left_semi")
-        self.signed = stage(chosen.select(F.col("at").alias("class"), "n", "signature"), "near-signatures")
+        self.signed = stage(chosen.select(F.col("at").alias("class"), "n", "signature", *SKETCH), "near-signatures")
 
-        keyed = self.signed.select("class", F.explode(_keys(F.col("signature"), distance, errors)).alias("key")).repartition("key")
-        leads = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("lead")).filter("size > 1")
-        self.buckets = stage(keyed.join(leads, "key").select("key", "class", "lead"), "near-buckets")
+        keyed = self.signed.select("class", *SKETCH, F.explode(_keys(F.col("signature"), distance, errors)).alias("key")).repartition("key")
+        leads = keyed.groupBy("key").agg(
+            F.count("*").alias("size"), F.min("class").alias("lead"), *[F.min_by(x, "class").alias(y) for x, y in zip(SKETCH, LEAD, strict=True)]
+        )
+        near = _near(SKETCH, LEAD, distance)
+        # A bucket of two is done with its one pair; if that is too far apart, nothing is left of it.
+        members = keyed.join(leads.filter("size > 1"), "key").filter((F.col("class") != F.col("lead")) & ((F.col("size") > 2) | near))
+        members = stage(members.withColumn("near", near), "near-buckets")
 
         self.links, self.tested = None, None
-        self._test(self.buckets.filter("class <> lead").select(*_pairs("class", "lead")))
+        self._test(members.filter("near").select(*_pairs("class", "lead")))
+        members = members.filter("size > 2")
+        leaders = members.select("key", F.col("lead").alias("class"), *[F.col(y).alias(x) for x, y in zip(SKETCH, LEAD, strict=True)]).distinct()
+        self.buckets = stage(members.select("key", "class", *SKETCH).unionByName(leaders), "near-large")
         self._test(self._beside())
         self._test(self._across())
 
     def _mixed_buckets(self) -> DataFrame:
-        """Members of buckets that hold several components, with the component and whether it is the bucket's largest."""
-        held = self.buckets.select("key", "class").join(self._roots.withColumnRenamed("node", "class"), "class", "left")
-        held = stage(held.select("key", "class", F.coalesce("root", "class").alias("root")), "near-held")
-        by_root = held.groupBy("key", "root").agg(F.count("*").alias("n"), F.min_by("class", F.xxhash64("key", "class")).alias("lead"))
-        top = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root", "lead")).alias("top")).filter("roots > 1")
-        top = stage(top.select("key", F.col("top.root").alias("top"), F.col("top.lead").alias("lead")), "near-top")
+        """Members of buckets that hold several components, with the component, the bucket's largest and a member of that."""
+        held = self.buckets.join(self._roots.withColumnRenamed("node", "class"), "class", "left")
+        held = stage(held.select("key", "class", *SKETCH, F.coalesce("root", "class").alias("root")), "near-held")
+        some = F.xxhash64("key", "class")
+        by_root = held.groupBy("key", "root").agg(
+            F.count("*").alias("n"), F.min_by("class", some).alias("lead"), *[F.min_by(x, some).alias(y) for x, y in zip(SKETCH, LEAD, strict=True)]
+        )
+        top = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root", "lead", *LEAD)).alias("top")).filter("roots > 1")
+        top = stage(top.select("key", F.col("top.root").alias("top"), *[F.col(f"top.{c}").alias(c) for c in ("lead", *LEAD)]), "near-top")
         return held.join(top, "key")
 
     def _beside(self) -> DataFrame:
-        return self._mixed_buckets().filter("root <> top").select(*_pairs("class", "lead"))
+        return self._mixed_buckets().filter("root <> top").filter(_near(SKETCH, LEAD, self.distance)).select(*_pairs("class", "lead"))
 
     def _across(self) -> DataFrame:
-        members = stage(self._mixed_buckets(), "near-mixed")
-        minor = members.filter("root <> top").select("key", F.col("class").alias("other"), F.col("root").alias("other_root"))
-        return members.join(minor, "key").filter("root <> other_root").select(*_pairs("class", "other"))
+        members = stage(self._mixed_buckets().select("key", "class", "root", "top", *SKETCH), "near-mixed")
+        minor = members.filter("root <> top").select(
+            "key", F.col("class").alias("other"), F.col("root").alias("other_root"), *[F.col(x).alias(y) for x, y in zip(SKETCH, LEAD, strict=True)]
+        )
+        apart = (F.col("root") != F.col("other_root")) & _near(SKETCH, LEAD, self.distance)
+        return members.join(minor, "key").filter(apart).select(*_pairs("class", "other"))
 
     def _test(self, pairs: DataFrame) -> None:
         """Confirm pairs of classes not tested before; then find the components anew."""

@@ -32,6 +32,17 @@ def test_signatures_within_the_distance_share_a_key(distance, errors):
     assert not (one == other).any()
 
 
+def test_sketches_differ_in_no_more_symbols(spark):
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 2**16, (300, near.SYMBOLS), dtype=np.uint16)
+    b = np.where(rng.random(a.shape) < rng.random((300, 1)), rng.integers(0, 2**16, a.shape), a).astype(np.uint16)
+    rows = [(*map(int, x), *map(int, y), i) for i, (x, y) in enumerate(zip(near.sketch(a), near.sketch(b), strict=True))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in [*near.SKETCH, *near.LEAD, "i"]))
+    found = {r.i for r in df.filter(near._near(near.SKETCH, near.LEAD, 30)).select("i").collect()}
+    assert found == {i for i in range(300) if int(((a[i] & 3) != (b[i] & 3)).sum()) <= 30}
+    assert found >= {i for i in range(300) if int((a[i] != b[i]).sum()) <= 30}
+
+
 def test_distance_of_similar_sets():
     """Of sets at a similarity of 0.8, all but few stay within the distance, near what the binomial law says."""
     rng = np.random.default_rng(5)
