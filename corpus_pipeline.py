@@ -18,28 +18,32 @@ MODEL = "piece_bpe_32k.model"
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more by trees fitted to the labels; labels only train, and a third of them is held out."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
     forest = quality.train(labelled.sample(docs, labels, "quality", labelled.in_fold("doc_id", 3, 1)))
     return docs.filter(quality.score(F.col("text"), forest) >= 0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal up to white space, the one with the smallest id."""
+    configure(spark)
     return exact.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 or more of their five-word shingles, the one with the smallest id."""
+    configure(spark)
     return near.deduplicate(docs, width=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, once per pass over its source."""
+    configure(spark)
     return mixing.mix_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit, begin and end included), and digests of the ids and of their text."""
+    configure(spark)
     model = public_tokenizers.path(MODEL)
     ids = docs.select("doc_id", piece.encode(F.col("text"), model).alias("ids"))
     return ids.withColumn("decoded", piece.decode(F.col("ids"), model)).select(
@@ -65,8 +69,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    configure(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for at, (_, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
