@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -28,7 +30,13 @@ _local_folders: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Fill in settings the session leaves open; never override a choice made by the cluster."""
+    """Fill in settings the session leaves open; never override a choice made by the cluster.
+
+    Python workers are told where the driver has this package, so that functions of it are found from any folder.
+    """
+    root, paths = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
