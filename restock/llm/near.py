@@ -21,6 +21,7 @@ ERRORS = 1  # symbols in which a chunk may differ
 PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
 LEAD = ["l0", "l1", "l2"]
+CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
 KEPT = 300_000
 STEP = 4096
 SLOTS = 1 << 20
@@ -140,6 +141,35 @@ def _describe(text: Column, width: int) -> Column:
     return describe(text)
 
 
+def left_out(signatures: np.ndarray, distance: int = DISTANCE, errors: int = ERRORS) -> np.ndarray:
+    """For each key the symbol that it leaves out; -1 if it is its chunk's first key, or leaves out none or several.
+
+    Signatures that agree in a whole chunk share all its keys, those that differ in one symbol the one key without it.  So of
+    the keys that two signatures share in a chunk, exactly one is the first or leaves out symbols that differ.
+    """
+    out = []
+    for chunk in chunks(distance, errors):
+        for i, gone in enumerate(combinations(chunk, min(errors, len(chunk)))):
+            one = len(gone) == 1 and i
+            out.append(signatures[:, gone[0]].astype(np.int32) if one else np.full(len(signatures), -1, np.int32))
+    return np.stack(out, 1)
+
+
+def _left_out(signatures: Column, distance: int, errors: int) -> Column:
+    @F.pandas_udf("array<int>")
+    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for data in batches:
+            found = left_out(np.frombuffer(b"".join(data), "<u2").reshape(len(data), SYMBOLS), distance, errors)
+            yield pd.Series(list(found), dtype=object)
+
+    return make(signatures)
+
+
+def _once(a: str, b: str) -> Column:
+    """Whether a shared key is the one of its chunk that counts."""
+    return (F.col(a) == -1) | (F.col(a) != F.col(b))
+
+
 def _keys(signatures: Column, distance: int, errors: int) -> Column:
     @F.pandas_udf("array<long>")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -197,6 +227,11 @@ def connected(links: DataFrame) -> DataFrame:
     )
 
 
+def _of(order: Column | str) -> list[Column]:
+    """What is carried by the member that comes first."""
+    return [F.min_by(x, order).alias(y) for x, y in CARRIED.items()]
+
+
 def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -213,7 +248,8 @@ class Links:
 
     Rows with one set of shingles are one class, and only classes are compared.  Two classes are candidates if
     their signatures differ in ``distance`` symbols at most: by the pigeonhole, they then share a key of ``keys``.  Each key
-    is a bucket, whose rows carry two bits of each symbol, so that most pairs that are too far apart never leave the join.
+    is a bucket, whose rows carry two bits of each symbol, so that most pairs that are too far apart never leave the join,
+    and what the key leaves out, so that a pair comes out of a chunk once.
     Candidates that pass the signatures' distance and the sets' sizes are confirmed on the full texts.
 
     Members of a bucket that are in one component already need no pair.  So a bucket's members are first compared with its
@@ -234,11 +270,10 @@ class Links:
         chosen = some.join(self.classes.select(F.col("class").alias("at")), "at", "left_semi")
         self.signed = stage(chosen.select(F.col("at").alias("class"), "n", "signature", *SKETCH), "near-signatures")
 
-        keyed = self.signed.select("class", *SKETCH, F.explode(_keys(F.col("signature"), distance, errors)).alias("key")).repartition("key")
-        leads = keyed.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("class").alias("lead"), *[F.min_by(x, "class").alias(y) for x, y in zip(SKETCH, LEAD, strict=True)]
-        )
-        near = _near(SKETCH, LEAD, distance)
+        both = F.arrays_zip(_keys(F.col("signature"), distance, errors).alias("key"), _left_out(F.col("signature"), distance, errors).alias("gone"))
+        keyed = self.signed.select("class", *SKETCH, F.inline(both)).repartition("key")
+        leads = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("lead"), *_of("class"))
+        near = _near(SKETCH, LEAD, distance) & _once("gone", "lead_gone")
         # A bucket of two is done with its one pair; if that is too far apart, nothing is left of it.
         members = keyed.join(leads.filter("size > 1"), "key").filter((F.col("class") != F.col("lead")) & ((F.col("size") > 2) | near))
         members = stage(members.withColumn("near", near), "near-buckets")
@@ -246,32 +281,34 @@ class Links:
         self.links, self.tested = None, None
         self._test(members.filter("near").select(*_pairs("class", "lead")))
         members = members.filter("size > 2")
-        leaders = members.select("key", F.col("lead").alias("class"), *[F.col(y).alias(x) for x, y in zip(SKETCH, LEAD, strict=True)]).distinct()
-        self.buckets = stage(members.select("key", "class", *SKETCH).unionByName(leaders), "near-large")
+        leaders = members.select("key", F.col("lead").alias("class"), *[F.col(y).alias(x) for x, y in CARRIED.items()]).distinct()
+        self.buckets = stage(members.select("key", "class", *CARRIED).unionByName(leaders), "near-large")
         self._test(self._beside())
         self._test(self._across())
 
     def _mixed_buckets(self) -> DataFrame:
         """Members of buckets that hold several components, with the component, the bucket's largest and a member of that."""
         held = self.buckets.join(self._roots.withColumnRenamed("node", "class"), "class", "left")
-        held = stage(held.select("key", "class", *SKETCH, F.coalesce("root", "class").alias("root")), "near-held")
+        held = stage(held.select("key", "class", *CARRIED, F.coalesce("root", "class").alias("root")), "near-held")
         some = F.xxhash64("key", "class")
-        by_root = held.groupBy("key", "root").agg(
-            F.count("*").alias("n"), F.min_by("class", some).alias("lead"), *[F.min_by(x, some).alias(y) for x, y in zip(SKETCH, LEAD, strict=True)]
-        )
-        top = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root", "lead", *LEAD)).alias("top")).filter("roots > 1")
-        top = stage(top.select("key", F.col("top.root").alias("top"), *[F.col(f"top.{c}").alias(c) for c in ("lead", *LEAD)]), "near-top")
+        by_root = held.groupBy("key", "root").agg(F.count("*").alias("n"), F.min_by("class", some).alias("lead"), *_of(some))
+        lead = ("lead", *CARRIED.values())
+        top = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root", *lead)).alias("top")).filter("roots > 1")
+        top = stage(top.select("key", F.col("top.root").alias("top"), *[F.col(f"top.{c}").alias(c) for c in lead]), "near-top")
         return held.join(top, "key")
 
     def _beside(self) -> DataFrame:
-        return self._mixed_buckets().filter("root <> top").filter(_near(SKETCH, LEAD, self.distance)).select(*_pairs("class", "lead"))
+        near = _near(SKETCH, LEAD, self.distance) & _once("gone", "lead_gone")
+        return self._mixed_buckets().filter("root <> top").filter(near).select(*_pairs("class", "lead"))
 
     def _across(self) -> DataFrame:
-        members = stage(self._mixed_buckets().select("key", "class", "root", "top", *SKETCH), "near-mixed")
+        members = stage(self._mixed_buckets().select("key", "class", "root", "top", *CARRIED), "near-mixed")
         minor = members.filter("root <> top").select(
-            "key", F.col("class").alias("other"), F.col("root").alias("other_root"), *[F.col(x).alias(y) for x, y in zip(SKETCH, LEAD, strict=True)]
+            "key", F.col("class").alias("other"), F.col("root").alias("other_root"), *[F.col(x).alias(y) for x, y in CARRIED.items()]
         )
-        apart = (F.col("root") != F.col("other_root")) & _near(SKETCH, LEAD, self.distance)
+        # Of two minor members the pair is made once, by the greater one.
+        apart = (F.col("root") != F.col("other_root")) & ((F.col("root") == F.col("top")) | (F.col("class") < F.col("other")))
+        apart = apart & _once("gone", "lead_gone") & _near(SKETCH, LEAD, self.distance)
         return members.join(minor, "key").filter(apart).select(*_pairs("class", "other"))
 
     def _test(self, pairs: DataFrame) -> None:

@@ -32,6 +32,20 @@ def test_signatures_within_the_distance_share_a_key(distance, errors):
     assert not (one == other).any()
 
 
+def test_one_key_of_a_chunk_counts():
+    rng = np.random.default_rng(9)
+    a = rng.integers(0, 2**16, (300, near.SYMBOLS), dtype=np.uint16)
+    b = np.where(rng.random(a.shape) < 0.15, rng.integers(0, 2**16, a.shape), a).astype(np.uint16)
+    shared, out_a, out_b = near.keys(a) == near.keys(b), near.left_out(a), near.left_out(b)
+    counts = shared & ((out_a == -1) | (out_a != out_b))
+    at = 0
+    for chunk in near.chunks():
+        part = slice(at, at + len(chunk))
+        differ = (a[:, chunk] != b[:, chunk]).sum(1)
+        assert (counts[:, part].sum(1) == (differ <= 1)).all()
+        at += len(chunk)
+
+
 def test_sketches_differ_in_no_more_symbols(spark):
     rng = np.random.default_rng(8)
     a = rng.integers(0, 2**16, (300, near.SYMBOLS), dtype=np.uint16)
