@@ -174,7 +174,7 @@ CTE["sold_region"] = """
 CTE["targets"] = """
   select org, sku, skc, size, cast(year(ship_day) as integer) as batch,
     cast(2 * sum(case when l_returnflag = 'R' then 0 else qty end) as bigint) as target
-  from ledger where skc < 'Brand#2' group by 1, 2, 3, 4, 5"""
+  from ledger group by 1, 2, 3, 4, 5"""
 CTE["scores"] = """
   select cast(year(ship_day) as integer) as batch, skc, org,
     sum(cast(l_discount as decimal(4,2)) * cast(qty as decimal(9,0))) * cast(0.137 as decimal(4,3)) as send_score,
@@ -550,8 +550,7 @@ CTE["chg"] = """
     op = 'UPDATE' and event_type <> 'view' as c_event_type,
     op = 'UPDATE' and not has_old as c_k from evt"""
 CTE["accounts"] = """
-  select cast(c_custkey as varchar) as key, c_acctbal as value, c_mktsegment as event_type, 0 as k from customer
-  where c_acctbal < 5000"""
+  select cast(s_suppkey as varchar) as key, s_acctbal as value, s_name as event_type, 0 as k from supplier"""
 CTE["resets"] = "select key, max(seq) as r_seq, arg_max(op, seq) as r_op from chg where op <> 'UPDATE' group by key"
 CTE["starts"] = """
   select c.key, arg_min(c.seq, c.seq) as f_seq from chg c left join resets r using (key)

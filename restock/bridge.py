@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock.functions import columns as C
-from restock.session import spread
 
 # Fixed values of the derived data set.
 AS_OF = "1998-07-01"  # day the sales windows end at
@@ -67,11 +66,11 @@ class Tables:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return spread(self.raw("lineitem"))
+        return self.raw("lineitem")
 
     @cached_property
     def events(self) -> DataFrame:
-        return spread(self.raw("events"))
+        return self.raw("events")
 
     # --- documents ---------------------------------------------------------------------------------
 
@@ -347,11 +346,10 @@ class Tables:
 
     @cached_property
     def targets(self) -> DataFrame:
-        """Target stock per (org, sku, batch) of the planned articles; may be 0."""
+        """Target stock per (org, sku, batch): twice what was kept; 0 where all was returned, none where nothing moved."""
         kept = F.when(F.col("l_returnflag") == "R", F.lit(0).cast("bigint")).otherwise(F.col("qty"))
         return (
-            self._ledger.filter(F.col("skc") < "Brand#2")
-            .groupBy("org", "sku", "skc", "size", F.year("ship_day").alias("batch"))
+            self._ledger.groupBy("org", "sku", "skc", "size", F.year("ship_day").alias("batch"))
             .agg((F.sum(kept) * 2).alias("target"))
         )
 

@@ -36,8 +36,9 @@ def profiles(lines: DataFrame, dim_sku: DataFrame) -> DataFrame:
     a document lacks are filled in from the list of its article instead of multiplying the documents by them.
     """
     per_size = lines.groupBy("doc", "size").agg(*[F.sum(q).alias(q) for q in QUANTITIES], *_attributes())
-    found = F.map_from_entries(F.collect_list(F.struct("size", F.struct(*QUANTITIES).alias("q"))))
-    docs = per_size.filter(F.col("size").isNotNull()).groupBy("doc").agg(*_attributes(), found.alias("found"))
+    known = F.when(F.col("size").isNotNull(), F.struct("size", F.struct(*QUANTITIES).alias("q")))
+    found = F.map_from_entries(F.collect_list(known))  # lines without a size leave the document its header
+    docs = per_size.groupBy("doc").agg(*_attributes(), found.alias("found"))
     listed = dim_sku.groupBy("skc").agg(F.sort_array(F.collect_set("size")).alias("listed"))
 
     def quantity(size: Column, name: str) -> Column:

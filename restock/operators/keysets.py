@@ -13,10 +13,6 @@ from restock.session import stage
 
 ORG_ROLES = ("model_out_org", "model_in_org", "out_org", "in_org")
 
-# A staged key set of at most this many short rows is sent to every executor.
-BROADCAST_ROWS = 200_000
-
-
 def two_sided_keys(lines: DataFrame, roles: Sequence[str] = ("out_org", "in_org")) -> DataFrame:
     """Distinct (org, skc) over several org columns, from one scan; missing orgs are left out."""
     return (
@@ -30,26 +26,12 @@ def changed_pairs(lines: DataFrame) -> DataFrame:
     return lines.filter(C.is_changed("status")).select(F.explode(orgs).alias("org"), "skc").distinct()
 
 
-def touching(lines: DataFrame, pairs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Lines that touch one of the (org, skc) pairs in any of the four org roles."""
-    pairs = stage(pairs, "pairs")
-    if pairs.count() <= broadcast_rows:
-        return _touching_by_flags(lines, F.broadcast(pairs))
-    return _touching_by_combinations(lines, pairs)
-
-
-def _touching_by_flags(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Four look-ups in the small pair set; the lines are not shuffled."""
-    found = lines
-    for role in ORG_ROLES:
-        hit = pairs.select(F.col("org").alias(role), "skc", F.lit(True).alias(f"_{role}"))
-        found = found.join(hit, [role, "skc"], "left")
-    hit_any = F.coalesce(*[F.col(f"_{role}") for role in ORG_ROLES])
-    return found.filter(hit_any).select(*lines.columns)
-
+def touching(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Lines that touch one of the (org, skc) pairs in any of the four org roles.
 
-def _touching_by_combinations(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """For a large pair set: test each distinct combination of roles once, then keep lines of a hit combination."""
+    Each distinct combination of roles and article is tested once; combinations combine before they are shuffled and are
+    far fewer than lines.  The lines are then kept by combination, with whatever join the written set's size allows.
+    """
     combos = lines.select(*ORG_ROLES, "skc").distinct()
     exploded = combos.withColumn("org", F.explode(F.array_distinct(F.array(*ORG_ROLES))))
     hits = exploded.join(pairs, ["org", "skc"], "left_semi").select(*ORG_ROLES, "skc").distinct()

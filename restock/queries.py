@@ -649,7 +649,7 @@ def reset_status(t: Tables) -> DataFrame:
 @query
 def listagg_roundtrip(t: Tables) -> DataFrame:
     changed = t.recent_moves.filter(C.is_changed("status"))
-    return U.split_lists(U.joined_lists(changed, "out_org", "doc"), "out_org", "doc")
+    return U.split_lists(U.joined_lists(changed, "out_org", "doc", lists=64), "out_org", "doc")
 
 
 @query
@@ -699,11 +699,11 @@ def _escaped(c: str):
 
 
 def _stored_accounts(t: Tables) -> DataFrame:
-    """Rows present before the events: customers with a low balance."""
-    return t.raw("customer").filter(F.col("c_acctbal") < 5000).select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_acctbal").alias("value"),
-        F.col("c_mktsegment").alias("event_type"),
+    """Rows present before the events: the suppliers.  Users beyond their numbers are not stored yet."""
+    return t.raw("supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.col("s_acctbal").alias("value"),
+        F.col("s_name").alias("event_type"),
         F.lit(0).cast("bigint").alias("k"),
     )
 

@@ -53,6 +53,8 @@ def local_session(cores: str = "8", app: str = "restock", shuffle_partitions: in
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.sql.files.maxPartitionBytes", "4m")  # the test tables are small
+        .config("spark.sql.files.openCostInBytes", "256k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,15 +89,6 @@ def together(spark: SparkSession, *builders: Callable[[], T]) -> list[T]:
         return [job.result() for job in [pool.submit(inherit(b)) for b in builders]]
 
 
-def spread(df: DataFrame, few: int = 16) -> DataFrame:
-    """Use all cores on a table that comes in a few splits only, such as one small file.
-
-    A table of any size to speak of has more splits and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, few) else df
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once and read it back.
 

@@ -44,11 +44,16 @@ def test_before_is_the_after_of_the_run_before(tables):
     same(last, net.filter("grouping_id = 1").select("org", "skc", F.col("after_before_stock").alias("after")))
 
 
-def test_both_forms_of_the_affected_documents(tables):
+def test_affected_documents_equal_the_form_by_role(tables):
     lines = stage(tables.moves, "moves")
-    pairs = stage(K.changed_pairs(lines), "pairs")
+    pairs = stage(K.changed_pairs(tables.recent_moves), "pairs")
     columns = ["doc", "sku", "out_org", "in_org", "model_in_org", "model_qty"]
-    same(K.touching(lines, pairs).select(*columns), K.touching(lines, pairs, broadcast_rows=0).select(*columns))
+    hit = lines
+    for role in K.ORG_ROLES:
+        known = pairs.select(F.col("org").alias(role), "skc", F.lit(True).alias(f"hit_{role}"))
+        hit = hit.join(known, [role, "skc"], "left")
+    by_role = hit.filter(F.coalesce(*[F.col(f"hit_{r}") for r in K.ORG_ROLES])).select(*columns)
+    same(K.touching(lines, pairs).select(*columns), by_role)
 
 
 def test_recent_lines_hold_all_changed_ones(tables):
@@ -100,18 +105,30 @@ def test_runs_without_a_batch_have_no_order(spark):
 def test_copies(spark):
     rows = spark.createDataFrame([(i, "hot") for i in range(50)] + [(100, "x")], "id int, doc string")
     assert {tuple(r) for r in U.keep_lowest_id(rows, "doc").collect()} == {(0, "hot"), (100, "x")}
-    among = spark.createDataFrame([("x",)], "doc string")
-    assert U.drop_copies(rows, "doc", among).count() == 51
+    shared = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (None, "b", 7), (None, "c", 8)], "id int, doc string, v int")
+    assert {tuple(r) for r in U.keep_lowest_id(shared, "doc").collect()} == {(1, "a", 5), (1, "b", 6), (None, "c", 8)}
     assert [tuple(r) for r in U.duplicates(rows, "doc").collect()] == [("hot", 50)]
 
 
-def test_lists_are_split_by_size(spark):
+def test_lists_are_as_many_as_asked_for(spark):
     df = spark.range(1000).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("v"))
-    lists = U.joined_lists(df, "g", "v", list_size=100)
+    assert U.joined_lists(df, "g", "v").count() == 1
+    lists = U.joined_lists(df, "g", "v", lists=10)
     assert lists.count() == 10
     same(U.split_lists(lists, "g", "v"), df)
 
 
+def test_a_document_without_sizes_keeps_its_header(spark):
+    names = ["doc", "day", *D.ATTRIBUTES, "size", *D.QUANTITIES]
+    base = ["2024-01-01", *["x"] * len(D.ATTRIBUTES)]
+    lines = spark.createDataFrame(
+        [("a", *base, "s", 1, 2), ("b", *base, None, 3, 4)], ", ".join(f"{n} {'bigint' if n in D.QUANTITIES else 'string'}" for n in names)
+    )
+    sku = spark.createDataFrame([("x", "s")], "skc string, size string")
+    found = {r.doc: [(s.size, s.model_qty) for s in r.sizes] for r in D.profiles(lines, sku).collect()}
+    assert found == {"a": [("s", 1), ("total", 1)], "b": [("s", None), ("total", None)]}
+
+
 def test_null_measures_make_no_rows(spark):
     df = spark.createDataFrame([("a", 1, None), ("b", None, None)], "k string, x int, y int")
     assert [tuple(r) for r in T.melt(df, ["k"], "name", "v").collect()] == [("a", "x", 1)]

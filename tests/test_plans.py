@@ -29,8 +29,6 @@ def test_filters_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,2001-07-29" in physical(CATALOGUE["filter_changed_docs"](spark, FOLDER))
 
 
-def test_affected_lines_are_not_shuffled(spark, tables):
-    from restock.operators import keysets as K
-
-    plan = physical(K.touching(tables.moves, K.changed_pairs(tables.recent_moves)))
-    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+def test_dedupe_reads_its_input_once(spark):
+    plan = physical(CATALOGUE["dedupe_orders"](spark, FOLDER))
+    assert plan.count("lineitem.parquet") == 1
