@@ -607,6 +607,12 @@ def queries() -> dict[str, str]:
         for t in TABLES
         if t not in ("benchmark", "labels")
     )
+    q["sync_tables"] = " union all ".join(
+        f"""select '{t}' as "table", (select count(*) from {t}{" where l_linenumber in (1, 2)" if t == "lineitem" else ""}) as n_rows,
+        (select cast(count(*) as integer) from (describe {t})) as n_columns"""
+        for t in TABLES
+        if t not in ("benchmark", "labels")
+    )
     q["sink_distributed"] = q["kpi_wide"] = q["ctas_kpi_wide"] = "select * from kpi"
     q["filter_changed_docs"] = f"select {LINE} from moves where status in ('1', '2', '3')"
     q["drop_null_orgs"] = "select doc, sku, model_in_org, model_qty from moves where model_in_org is not null"
@@ -724,6 +730,11 @@ def queries() -> dict[str, str]:
       (select *, row_number() over (partition by doc order by id) as rn from stored_docs) s
       where doc not in (select doc from fresh_docs) and (rn = 1 or batch not in (select batch from fresh_docs))
       union all select * from fresh_docs"""
+    q["run_day"] = f"""select h.doc || case when a.doc is not null then '#new' else '#1' end as id, h.doc, h.batch, h.skc,
+      h.out_org, h.in_org, a.model_qty, a.human_qty, case when a.doc is not null then h.template end as template,
+      cast(0 as bigint) as changed_lines
+      from headers h left join (select doc, {bundles(["model_qty", "human_qty"])} from affected_quantities group by 1) a
+      on h.doc = a.doc"""
     q["cdc_parse"] = """select seq as "offset", key, op, 5 as n_fields, value from evt"""
     q["cdc_normalise"] = """select seq as "offset", key, op,
       'event_type=' || event_type || ';id=' || key || ';k=' || k || ';value=' || value as data from evt"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from restock import bridge as B
 from restock.bridge import STOCK_BASES as BASES
@@ -22,13 +23,14 @@ from restock.operators import sales as S
 from restock.operators import stock as ST
 from restock.operators import tags as T
 from restock.operators import upserts as U
-from restock.plans import kpi, publish
+from restock.plans import daily, kpi, publish
 from restock.plans.detail import BASES as DETAIL_BASES
 from restock.plans.detail import Detail
 from restock.session import configure, stage, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
 from restock.sources import tables as TB
+from restock.sources.store import Store
 from restock.streaming.replica import Replica
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,7 @@ CATALOGUE: dict[str, Query] = {}
 SLICE_DAY = "1998-07-01"
 SYNC_BATCHES = (1996, 1998)
 SYNC_MONTH = "1998-07-01"
+SYNC_LINES = (1, 2)
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -108,26 +111,25 @@ def csv_roundtrip(t: Tables) -> DataFrame:
 
 @query
 def append_by_name(t: Tables) -> DataFrame:
+    """A stored table to which later orders are appended, their columns in another order."""
     orders = t.raw("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
     old = F.col("o_orderdate") < "1999"
-    shuffled = orders.filter(~old).select(*reversed(orders.columns))
-    return TB.append_by_name(orders.filter(old), shuffled)
+    target = Store(t.spark, work_path(t.spark, "orders"), orders.schema).replace(orders.filter(old))
+    return target.append(orders.filter(~old).select(*reversed(orders.columns))).current()
 
 
-def _old_target(rows: DataFrame, path: str, partition: str | None = None) -> None:
+def _old_target(rows: DataFrame, partition: str | None = None) -> Store:
     """A target that has drifted: every price is 0."""
-    stale = rows.withColumn("total", F.lit(0.0))
-    writer = stale.hint("rebalance", F.col(partition)).write if partition else stale.write
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    target = Store(rows.sparkSession, work_path(rows.sparkSession, "target"), rows.schema, partition)
+    return target.replace(rows.withColumn("total", F.lit(0.0)))
 
 
 @query
 def sync_full(t: Tables) -> DataFrame:
     source = t.raw("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("total"))
-    path = work_path(t.spark, "target")
-    _old_target(source, path)
-    RP.sync_full(source, path)
-    return t.spark.read.schema(source.schema).parquet(path)
+    target = _old_target(source)
+    RP.sync_full(source, target)
+    return target.current()
 
 
 @query
@@ -135,20 +137,18 @@ def sync_batches(t: Tables) -> DataFrame:
     source = t.raw("orders").select(
         "o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("total"), F.year("o_orderdate").alias("batch_id")
     )
-    path = work_path(t.spark, "target")
-    _old_target(source, path, "batch_id")
-    RP.sync_batches(source, path, SYNC_BATCHES)
-    return t.spark.read.schema(source.schema).parquet(path)
+    target = _old_target(source, "batch_id")
+    RP.sync_batches(source, target, SYNC_BATCHES)
+    return target.current()
 
 
 @query
 def sync_day(t: Tables) -> DataFrame:
     month = F.trunc(F.col("o_orderdate").cast("date"), "month")
     source = t.raw("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("total"), month.alias("day_date"))
-    path = work_path(t.spark, "target")
-    _old_target(source, path, "day_date")
-    RP.sync_day(source, path, SYNC_MONTH)
-    return _day_text(t.spark.read.schema(source.schema).parquet(path), "day_date")
+    target = _old_target(source, "day_date")
+    RP.sync_day(source, target, SYNC_MONTH)
+    return _day_text(target.current(), "day_date")
 
 
 @query
@@ -163,6 +163,19 @@ def sync_catalog_plan(t: Tables) -> DataFrame:
     return plan.join(counts, "table").orderBy("table")
 
 
+@query
+def sync_tables(t: Tables) -> DataFrame:
+    """The plan carried out: all given tables copied, lineitem by some of its batches; rows and columns of the copies."""
+    tables = {name: t.raw(name) for name in RAW_TABLES}
+    plan = RP.sync_plan(RP.catalog_columns(tables, t.spark), SYNC_DENY, "l_linenumber")
+    copies = RP.sync_tables(plan, tables, work_path(t.spark, "copies"), SYNC_LINES, "l_linenumber")
+    counts = None
+    for name, copy in copies.items():
+        rows = copy.current().agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table"), "n_rows", F.lit(len(copy.schema)).alias("n_columns"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts
+
+
 @query
 def sink_distributed(t: Tables) -> DataFrame:
     """The wide table through the distributed sink; its decimals are shown as doubles."""
@@ -654,9 +667,27 @@ def listagg_roundtrip(t: Tables) -> DataFrame:
 
 @query
 def publish_incremental(t: Tables) -> DataFrame:
-    path = work_path(t.spark, "published")
-    _stored(t).hint("rebalance", F.col("batch")).write.partitionBy("batch").parquet(path)
-    return publish.publish(path, _fresh(t), "batch")
+    stored = _stored(t)
+    results = Store(t.spark, work_path(t.spark, "published"), stored.schema, "batch").replace(stored)
+    return publish.publish(results, _fresh(t))
+
+
+@query
+def run_day(t: Tables) -> DataFrame:
+    """A run from end to end, twice: the stored results afterwards, and how many lines still count as changed."""
+    docs = D.headers(t.moves).select(F.concat_ws("#", "doc", F.lit("1")).alias("id"), "doc", "batch", "skc", "out_org", "in_org")
+    schema = T_.StructType.fromDDL(daily.RESULT)
+    old = docs.select(*[F.col(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    results = Store(t.spark, work_path(t.spark, "results"), schema, "batch").replace(old)
+    line_schema = T_.StructType.fromDDL(daily.LINES)
+    lines = Store(t.spark, work_path(t.spark, "lines"), line_schema, "batch").replace(t.moves.select(*line_schema.names))
+    assert daily.run(t, results, lines)
+    assert not daily.run(t, results, lines)
+    left = lines.current().filter(C.is_changed("status")).groupBy("doc").agg(F.count("*").alias("changed_lines"))
+    return results.current().join(left, "doc", "left").select(
+        "id", "doc", "batch", "skc", "out_org", "in_org", "model_qty", "human_qty",
+        F.get_json_object("detail", "$.template").alias("template"), F.coalesce("changed_lines", F.lit(0)).alias("changed_lines"),
+    )
 
 
 # --- change data capture -----------------------------------------------------------------------------

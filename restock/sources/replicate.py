@@ -9,34 +9,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from restock.sources.store import Store
+
 # Tables never copied.  The underscore is literal.
 SKIP_PATTERNS = (r"%\_1\_prt\_%", r"%\_bak", r"%\_tmp", "tmp%")
 
 
-def sync_full(source: DataFrame, target_path: str) -> None:
+def sync_full(source: DataFrame, target: Store) -> None:
     """Replace the target by all rows of the source."""
-    source.write.mode("overwrite").parquet(target_path)
+    target.replace(source)
 
 
-def _replace_partitions(rows: DataFrame, target_path: str, column: str) -> None:
-    # Rebalanced by the partition column: few files per partition, and a large partition is written by many tasks.
-    (
-        rows.hint("rebalance", F.col(column))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(target_path)
-    )
+def _replace_partitions(rows: DataFrame, target: Store) -> None:
+    target.replace_partitions(rows, rows.select(target.partition).distinct())
 
 
-def sync_batches(source: DataFrame, target_path: str, batches: Sequence[int], column: str = "batch_id") -> None:
-    """Copy some batches; the target keeps its other batches."""
-    _replace_partitions(source.filter(F.col(column).isin(*batches)), target_path, column)
+def sync_batches(source: DataFrame, target: Store, batches: Sequence[int]) -> None:
+    """Copy some batches, by the target's partition column; the target keeps its other batches."""
+    _replace_partitions(source.filter(F.col(target.partition).isin(*batches)), target)
 
 
-def sync_day(source: DataFrame, target_path: str, day: str, column: str = "day_date") -> None:
-    """Copy one day; the target keeps its other days."""
-    _replace_partitions(source.filter(F.col(column) == F.lit(day).cast("date")), target_path, column)
+def sync_day(source: DataFrame, target: Store, day: str) -> None:
+    """Copy one day, by the target's partition column; the target keeps its other days."""
+    _replace_partitions(source.filter(F.col(target.partition) == F.lit(day).cast("date")), target)
 
 
 def catalog_columns(tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
@@ -62,16 +57,17 @@ def sync_plan(columns: DataFrame, deny: Iterable[str] = (), batch_column: str =
 
 def sync_tables(
     plan: DataFrame, tables: Mapping[str, DataFrame], target_root: str, batches: Sequence[int], batch_column: str = "batch_id"
-) -> list[str]:
-    """Carry out a plan, one Spark job per table; returns the tables copied.  The plan has one row per table."""
-    done = []
+) -> dict[str, Store]:
+    """Carry out a plan, one Spark job per table; the copies by name.  The plan has one row per table."""
+    done = {}
     for row in plan.collect():
-        source, path = tables[row.table], f"{target_root}/{row.table}"
-        if row.mode == "batches" and batches:
-            sync_batches(source, path, batches, batch_column)
+        source, by_batch = tables[row.table], row.mode == "batches" and batches
+        target = Store(source.sparkSession, f"{target_root}/{row.table}", source.schema, batch_column if by_batch else None)
+        if by_batch:
+            sync_batches(source, target, batches)
         else:
-            sync_full(source, path)
-        done.append(row.table)
+            sync_full(source, target)
+        done[row.table] = target
     return done
 
 

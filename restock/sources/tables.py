@@ -48,17 +48,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def create_table_as(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """A catalog table from a query, replaced if it exists.  Its files go to ``path`` or the shared folder."""
+    """A catalog table from a query, replaced if it exists.  Its files go to a new folder: ``path`` or one in the shared folder.
+
+    The files are written first; if that fails, a table of that name is still what it was.
+    """
     spark = df.sparkSession
     location = path or work_path(spark, name)
+    df.write.parquet(location)
     spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-    df.write.mode("overwrite").option("path", location).saveAsTable(name)
-    return spark.table(name)
-
-
-def append_by_name(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Target plus source rows, columns matched by name whatever their order in the source."""
-    return target.unionByName(source.select(*target.columns))
+    return spark.catalog.createTable(name, location, "parquet", df.schema)
 
 
 def append_files(source: DataFrame, path: str, columns: Sequence[str]) -> None:

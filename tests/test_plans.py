@@ -7,7 +7,7 @@ from restock.queries import CATALOGUE
 
 LAZY = sorted(
     set(CATALOGUE)
-    - {"doc_detail", "doc_enrich", "carry_over_store_c", "cdc_stream", "cdc_emit_json", "sync_catalog_plan", "sync_day"}
+    - {"doc_detail", "doc_enrich", "run_day", "sync_tables", "carry_over_store_c", "cdc_stream", "cdc_emit_json", "sync_catalog_plan", "sync_day"}
 )
 
 

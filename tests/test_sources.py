@@ -8,17 +8,40 @@ from restock.session import shared_folder, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
 from restock.sources import tables as TB
+from restock.sources.store import Store
 
 
 def test_batches_replace_only_their_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.createDataFrame([(1, "old"), (2, "old"), (2, "gone")], "batch_id int, v string").write.partitionBy(
-        "batch_id"
-    ).parquet(path)
+    old = spark.createDataFrame([(1, "old"), (2, "old"), (2, "gone")], "batch_id int, v string")
+    target = Store(spark, str(tmp_path / "t"), old.schema, "batch_id").replace(old)
     source = spark.createDataFrame([(1, "new"), (2, "new")], "batch_id int, v string")
-    RP.sync_batches(source, path, RP.parse_batches("2"))
-    got = sorted((r.batch_id, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "old"), (2, "new")]
+    RP.sync_batches(source, target, RP.parse_batches("2"))
+    assert sorted((r.batch_id, r.v) for r in target.current().collect()) == [(1, "old"), (2, "new")]
+    assert sorted((r.batch_id, r.v) for r in target.compact().current().collect()) == [(1, "old"), (2, "new")]
+
+
+def test_a_failed_write_leaves_the_old_state(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    for partition in (None, "k"):
+        target = Store(spark, str(tmp_path / f"by-{partition}"), old.schema, partition)
+        assert target.current().collect() == []
+        target.replace(old)
+        broken = old.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+        for write in (lambda: target.replace(broken), lambda: target.append(broken)):
+            with pytest.raises(Exception, match="broken"):
+                write()
+        assert sorted(r.v for r in target.current().collect()) == ["a", "b"]
+        target.append(old.select("v", "k"))
+        assert sorted(r.v for r in target.current().collect()) == ["a", "a", "b", "b"]
+
+
+def test_a_table_as_a_query_is_replaced_whole(spark, tmp_path):
+    TB.create_table_as(spark.range(3), "restock_ctas", str(tmp_path / "one"))
+    with pytest.raises(Exception, match="broken"):
+        TB.create_table_as(spark.range(3).select(F.raise_error(F.lit("broken")).cast("string").alias("id")), "restock_ctas", str(tmp_path / "two"))
+    assert spark.table("restock_ctas").count() == 3
+    assert TB.create_table_as(spark.range(5), "restock_ctas", str(tmp_path / "three")).count() == 5
+    spark.sql("DROP TABLE restock_ctas")
 
 
 def test_plan_skips_by_literal_patterns(spark):
@@ -38,9 +61,8 @@ def test_sync_tables(spark, tmp_path):
         "b": spark.createDataFrame([("z",)], "v string"),
     }
     plan = RP.sync_plan(RP.catalog_columns(tables, spark))
-    assert RP.sync_tables(plan, tables, str(tmp_path), [2]) == ["a", "b"]
-    assert [r.v for r in spark.read.parquet(f"{tmp_path}/a").collect()] == ["y"]
-    assert [r.v for r in spark.read.parquet(f"{tmp_path}/b").collect()] == ["z"]
+    copies = RP.sync_tables(plan, tables, str(tmp_path), [2])
+    assert {n: [r.v for r in c.current().collect()] for n, c in copies.items()} == {"a": ["y"], "b": ["z"]}
 
 
 def test_csv_tells_null_from_empty(spark, tmp_path):
@@ -74,17 +96,29 @@ def test_day_slice_reads_one_partition(spark, tmp_path):
 
 
 def test_publish_leaves_other_partitions(spark, tmp_path):
-    path = str(tmp_path / "p")
     stored = spark.createDataFrame(
         [("a#1", "a", 1, 2023), ("a#2", "a", 1, 2023), ("b#1", "b", 1, 2024), ("b#2", "b", 1, 2024), ("c#1", "c", 1, 2024)],
         "id string, doc string, qty bigint, batch int",
     )
-    stored.write.partitionBy("batch").parquet(path)
+    results = Store(spark, str(tmp_path / "p"), stored.schema, "batch").replace(stored)
     fresh = spark.createDataFrame([("c#new", "c", 7, 2024)], stored.schema)
-    got = sorted((r.id, r.qty) for r in publish(path, fresh, "batch").collect())
+    got = sorted((r.id, r.qty) for r in publish(results, fresh).collect())
     assert got == [("a#1", 1), ("a#2", 1), ("b#1", 1), ("c#new", 7)]
-    again = sorted((r.id, r.qty) for r in publish(path, fresh, "batch").collect())
+    again = sorted((r.id, r.qty) for r in publish(results, fresh).collect())
     assert again == got
+    assert sorted((r.id, r.qty) for r in publish(results, fresh.limit(0)).collect()) == got
+
+
+def test_publish_finds_documents_in_other_partitions(spark, tmp_path):
+    """A document that changes its partition, one that loses it, and one whose partition is NULL."""
+    stored = spark.createDataFrame(
+        [("a#1", "a", 1, None), ("b#1", "b", 1, None), ("c#1", "c", 1, 2024), ("d#1", "d", 1, 2024), ("e#1", "e", 1, 2025)],
+        "id string, doc string, qty bigint, batch int",
+    )
+    results = Store(spark, str(tmp_path / "p"), stored.schema, "batch").replace(stored)
+    fresh = spark.createDataFrame([("a#new", "a", 7, None), ("c#new", "c", 8, 2025), ("d#new", "d", 9, None)], stored.schema)
+    got = sorted((r.id, r.batch) for r in publish(results, fresh).collect())
+    assert got == [("a#new", None), ("b#1", None), ("c#new", 2025), ("d#new", None), ("e#1", 2025)]
 
 
 def test_message_options():
