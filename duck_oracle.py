@@ -742,6 +742,12 @@ def queries() -> dict[str, str]:
       case when c_event_type then 'event_type=' || event_type end, case when c_id then 'id=' || key end,
       case when c_k then 'k=' || k end, case when c_value then 'value=' || value end) as changed from chg"""
     q["cdc_apply"] = q["cdc_stream"] = "select * from cdc_result"
+    q["cdc_rejects"] = """select event_id as "offset", case event_type when 'purchase' then 'message' when 'signup' then 'value'
+      else 'key' end as reason from events where (event_type = 'purchase' and value > 30)
+      or (event_type = 'signup' and value < 5) or (event_type = 'error' and value > 20)"""
+    q["cdc_emit_json"] = """select cast(id as varchar) as key, '{"id":' || cast(id as varchar) || ',"value":'
+      || coalesce(cast(value as varchar), 'null') || ',"event_type":' || coalesce('"' || event_type || '"', 'null')
+      || ',"k":' || coalesce(cast(k as varchar), 'null') || '}' as value from cdc_result"""
     return {name: complete(text) for name, text in q.items()}
 
 

@@ -7,41 +7,95 @@ task: every figure it needs is a combining aggregate (last reset, first update,
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from restock.session import stage
 
+OPERATIONS = ("INSERT", "UPDATE", "DELETE")
 ENVELOPE = "table string, type string, shardingKey string, data string, oldData string"
 FIELDS = "map<string,string>"
 POSITION = ("partition", "offset")
 
 
-def parse(envelopes: DataFrame, table: str) -> DataFrame:
-    """Events of one table: position, key, operation and field maps.
+def messages(envelopes: DataFrame, table: str) -> DataFrame:
+    """Messages of one table, and those that name none: position, text, key, operation and field maps.
 
-    A nested object may be written as an object or as text holding one; both parse the same.
+    A nested object may be written as an object or as text holding one; both parse the same.  ``broken`` tells whether there
+    is a nested text that is no object.
     """
     # The message is parsed once and spread into columns before it is filtered.
     message = F.from_json(F.col("value").cast("string"), ENVELOPE)
+    data, old = F.from_json("data", FIELDS), F.from_json("oldData", FIELDS)
     return (
-        envelopes.select(F.struct(*POSITION).alias("seq"), F.inline(F.array(message)))
-        .filter(F.col("table") == table)
+        envelopes.select(F.struct(*POSITION).alias("seq"), F.col("value").cast("string").alias("text"), F.inline(F.array(message)))
+        .filter((F.col("table") == table) | F.col("table").isNull())
         .select(
             "seq",
+            "text",
+            "table",
             F.col("shardingKey").alias("key"),
             F.upper("type").alias("op"),
-            F.from_json("data", FIELDS).alias("data"),
-            F.from_json("oldData", FIELDS).alias("old"),
+            data.alias("data"),
+            old.alias("old"),
+            ((F.col("data").isNotNull() & data.isNull()) | (F.col("oldData").isNotNull() & old.isNull())).alias("broken"),
         )
     )
 
 
+def parse(envelopes: DataFrame, table: str) -> DataFrame:
+    """Events of one table: position, key, operation and field maps."""
+    return messages(envelopes, table).filter(F.col("table") == table).select("seq", "key", "op", "data", "old")
+
+
+def checked(envelopes: DataFrame, table: str, schema: StructType, key: str) -> DataFrame:
+    """Events with their known fields, and the ``reason`` for which an event cannot be applied, NULL if it can.
+
+    No value is lost or made NULL to fit: a message that is not read in full, an unknown operation, a key or a value that
+    its column cannot hold keeps the whole event out.
+    """
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    events = normalise(messages(envelopes, table), list(types))
+
+    def unfit(value: Column, kind: DataType) -> Column:
+        return value.isNotNull() & value.try_cast(kind).isNull()
+
+    values = [unfit(F.try_element_at("data", F.lit(c)), kind) for c, kind in types.items()]
+    reason = (
+        F.when(F.col("table").isNull() | F.col("op").isNull(), "message")
+        .when(~F.col("op").isin(*OPERATIONS), "operation")
+        .when(F.col("broken"), "data")
+        .when(F.col("key").isNull() | unfit(F.col("key"), types[key.lower()]), "key")
+        .when(reduce(or_, values), "value")
+    )
+    return events.withColumn("reason", reason)
+
+
+def accepted(events: DataFrame) -> DataFrame:
+    """The checked events that can be applied, with their changed fields."""
+    return changed_fields(events.filter(F.col("reason").isNull()).select("seq", "key", "op", "data", "old"))
+
+
+def rejected(events: DataFrame) -> DataFrame:
+    """The others: position, reason and the message as it came."""
+    return events.filter(F.col("reason").isNotNull()).select("seq.*", "reason", "text")
+
+
 def known_fields(fields: Column, columns: Sequence[str]) -> Column:
     """Fields of the target table, names in lower case.  Of names differing only in case the last counts."""
-    lowered = F.transform_keys(F.coalesce(fields, F.create_map().cast(FIELDS)), lambda k, v: F.lower(k))
-    return F.map_filter(lowered, lambda k, v: k.isin(*[c.lower() for c in columns]))
+    entries = F.map_entries(fields)
+
+    def last(name: str) -> Column:
+        return F.try_element_at(F.filter(entries, lambda e: F.lower(e["key"]) == name), F.lit(-1))
+
+    found = [(name, last(name)) for name in dict.fromkeys(c.lower() for c in columns)]
+    pairs = [F.when(e.isNotNull(), F.struct(F.lit(name).alias("key"), e["value"].alias("value"))) for name, e in found]
+    known = F.map_from_entries(F.filter(F.array(*pairs), lambda p: p.isNotNull()))
+    return F.when(fields.isNotNull(), known).otherwise(F.create_map().cast(FIELDS))
 
 
 def normalise(events: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -124,8 +178,14 @@ def apply(stored: DataFrame, events: DataFrame, key: str) -> DataFrame:
     types = {f.name: f.dataType for f in stored.schema.fields}
     on_key = F.col(key).cast("string") == F.col("key")
 
+    def fitted(text: Column, c: str) -> Column:
+        """The text as the column's type; what does not fit stops the job instead of turning NULL."""
+        cast = text.try_cast(types[c])
+        bad = F.raise_error(F.concat(F.lit(f"{c} cannot hold "), text)).cast(types[c])
+        return F.when(text.isNull() | cast.isNotNull(), cast).otherwise(bad)
+
     def value(c: str) -> Column:
-        return F.col(f"v_{c.lower()}").try_cast(types[c])
+        return fitted(F.col(f"v_{c.lower()}"), c)
 
     # Keys stored before: patched in place, or replaced if the events hold a reset.
     def updated(c: str) -> Column:
@@ -143,6 +203,6 @@ def apply(stored: DataFrame, events: DataFrame, key: str) -> DataFrame:
     added = (
         outcome.filter(F.coalesce(F.col("exists"), F.lit(True)))
         .join(present, "key", "left_anti")
-        .select(*[(F.col("key").try_cast(types[c]) if c == key else value(c)).alias(c) for c in columns])
+        .select(*[(fitted(F.col("key"), c) if c == key else value(c)).alias(c) for c in columns])
     )
     return kept.unionByName(added)

@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 T = TypeVar("T")
 
 # Applied only where the session does not say otherwise.  Hot join keys are split by
-# adaptive execution even if that costs one more shuffle; of a map key given twice the last value counts; batches for
-# Python hold as many long texts as a worker has room for.
+# adaptive execution even if that costs one more shuffle; batches for Python hold as many long texts as a worker has
+# room for.
 DEFAULTS = {
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from restock.operators import changes as CH
+from restock.session import stage
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -30,6 +31,8 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+REJECT_SCHEMA = "partition int, offset bigint, reason string, text string, batch bigint"
+
 
 @dataclass
 class Replica:
@@ -45,26 +48,57 @@ class Replica:
     def _log(self) -> str:
         return f"{self.root}/log"
 
+    @property
+    def _rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     def create(self, stored: DataFrame) -> None:
         """Start from a first copy of the table."""
         self._write_base(stored.select(*self.schema.names), -1)
 
     def append(self, envelopes: DataFrame, batch: int) -> None:
-        """Add one micro-batch of change envelopes to the log."""
-        events = CH.changed_fields(CH.normalise(CH.parse(envelopes, self.table), self.schema.names))
-        events.select("seq", "key", "op", "data", "changed").write.mode("overwrite").parquet(
+        """Add one micro-batch of change envelopes to the log; what cannot be applied goes to the rejects."""
+        events = stage(CH.checked(envelopes, self.table, self.schema, self.key), "messages")
+        CH.rejected(events).write.mode("overwrite").parquet(f"{self._rejects}/batch={batch}")
+        CH.accepted(events).select("seq", "key", "op", "data", "changed").write.mode("overwrite").parquet(
             f"{self._log}/batch={batch}"
         )
 
     def run(self, envelopes: DataFrame, checkpoint: str) -> StreamingQuery:
-        """Consume a stream of (partition, offset, value) rows until it has no more; progress is kept in ``checkpoint``."""
+        """Consume a stream of (partition, offset, value) rows until it has no more; progress is kept in ``checkpoint``.
+
+        A new checkpoint counts its batches from 0; they are numbered on after those already logged.
+        """
+        first = self._first(checkpoint)
         return (
-            envelopes.writeStream.foreachBatch(self.append)
+            envelopes.writeStream.foreachBatch(lambda rows, batch: self.append(rows, first + batch))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
         )
 
+    def rejects(self) -> DataFrame:
+        """Messages that could not be applied: position, reason, text and batch."""
+        return self.spark.read.schema(REJECT_SCHEMA).parquet(self._rejects)
+
+    def _first(self, checkpoint: str) -> int:
+        """The number of a checkpoint's first batch, noted when it is first seen."""
+        path = f"{self.root}/checkpoints"
+        try:
+            known = self.spark.read.parquet(path).filter(F.col("checkpoint") == checkpoint).agg(F.min("first")).first()[0]
+        except AnalysisException:
+            known = None
+        if known is not None:
+            return known
+        try:
+            logged = self.spark.read.schema(EVENT_SCHEMA).parquet(self._log).agg(F.max("batch")).first()[0]
+        except AnalysisException:
+            logged = None
+        first = max(self._pointer()[1], -1 if logged is None else logged) + 1
+        note = self.spark.range(1).select(F.lit(checkpoint).alias("checkpoint"), F.lit(first).cast("bigint").alias("first"))
+        note.coalesce(1).write.mode("append").parquet(path)
+        return first
+
     def current(self, upto: int | None = None) -> DataFrame:
         """The table as of the last logged batch, or of an earlier one that is not yet part of the base."""
         version, done = self._pointer()

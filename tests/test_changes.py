@@ -133,3 +133,44 @@ def test_replica_stream_resumes(spark, tmp_path):
         stream = spark.readStream.schema(messages.schema).parquet(queue)
         replica.run(stream, str(tmp_path / "checkpoint")).awaitTermination()
         assert as_dict(replica.current()) == replay(START, events[: i + 60])
+
+
+def test_what_cannot_be_applied_is_kept_apart(spark):
+    good = {"table": "t", "type": "INSERT", "shardingKey": "1", "data": {"id": "1", "a": "x", "b": "7"}}
+    bad = [
+        "not json", "{\"table\":\"t\"}", json.dumps({**good, "type": "MERGE"}), json.dumps({**good, "data": "{oops"}),
+        json.dumps({**good, "shardingKey": "one"}), json.dumps({**good, "shardingKey": None}),
+        json.dumps({**good, "data": {"id": "1", "b": "seven"}}),
+    ]
+    texts = [json.dumps(good), *bad, json.dumps({**good, "table": "other"}), None]
+    rows = spark.createDataFrame([(0, i, x) for i, x in enumerate(texts)], "partition int, offset bigint, value string")
+    events = CH.checked(rows, "t", spark.createDataFrame([], SCHEMA).schema, "id")
+    assert [r.seq.offset for r in CH.accepted(events).collect()] == [0]
+    reasons = {r.offset: r.reason for r in CH.rejected(events).collect()}
+    assert reasons == {1: "message", 2: "message", 3: "operation", 4: "data", 5: "key", 6: "key", 7: "value", 9: "message"}
+
+
+def test_a_value_that_does_not_fit_stops_the_fold(spark):
+    events = [{"table": "t", "type": "UPDATE", "shardingKey": "2", "data": {"b": "abc"}}]
+    unchecked = CH.changed_fields(CH.normalise(CH.parse(envelopes(spark, events), "t"), COLUMNS))
+    with pytest.raises(Exception, match="b cannot hold abc"):
+        CH.apply(stored_rows(spark, START), unchecked, "id").collect()
+
+
+def test_names_differing_in_case_need_no_setting(spark):
+    fields = spark.sql("select map('A', '1', 'a', '2', 'c', '3') as f union all select null")
+    assert spark.conf.get("spark.sql.mapKeyDedupPolicy") == "EXCEPTION"
+    assert sorted(str(r[0]) for r in fields.select(CH.known_fields(fields["f"], ["a", "b"])).collect()) == ["{'a': '2'}", "{}"]
+
+
+def test_a_new_checkpoint_logs_after_the_old_one(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), "t", "id", spark.createDataFrame([], SCHEMA).schema)
+    replica.create(stored_rows(spark, START))
+    events = [{"table": "t", "type": "INSERT", "shardingKey": str(k), "data": {"id": str(k), "b": "5"}} for k in (51, 52)]
+    for i, e in enumerate(events):
+        queue = str(tmp_path / f"q{i}")
+        envelopes(spark, [e], i).write.parquet(queue)
+        stream = spark.readStream.schema("partition int, offset bigint, value string").parquet(queue)
+        replica.run(stream, str(tmp_path / f"c{i}")).awaitTermination()
+    assert {"51", "52"} <= set(as_dict(replica.current()))
+    assert replica.rejects().count() == 0
