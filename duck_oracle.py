@@ -110,27 +110,31 @@ CTE["dim_org"] = """
     'Store ' || n_name as org_name, 2 as org_type,
     case when r_name = 'MIDDLE EAST' then '2' else '1' end as org_flag,
     case when n_name = 'NATION_24' then 'closed' else 'open' end as status, 'Manager ' || n_nationkey as store_manager,
-    r_name as region from nation join region on n_regionkey = r_regionkey
+    r_name as region, case when r_name in ('EUROPE', 'MIDDLE EAST') then 'V' else 'U' end as unit
+  from nation join region on n_regionkey = r_regionkey
   union all
-  select 'R' || r_regionkey, 'U', r_name, 'Region ' || r_name, 1, null, 'open', null, r_name from region"""
+  select 'R' || r_regionkey, case when r_name in ('EUROPE', 'MIDDLE EAST') then 'V' else 'U' end, r_name,
+    'Region ' || r_name, 1, null, 'open', null, r_name, case when r_name in ('EUROPE', 'MIDDLE EAST') then 'V' else 'U' end
+  from region"""
 CTE["templates"] = "select distinct o_orderpriority as template from orders"
 CTE["levels"] = """
   select template, case template when '1-URGENT' then 'region' when '2-HIGH' then 'store' when '3-MEDIUM' then 'region'
     else 'operating_unit' end as level from templates"""
 CTE["managers"] = """
   select o.org, l.template, l.level, o.org_code, o.org_name, o.org_flag,
-    case when o.org_flag = '2' or l.level = 'region' then p.org when l.level = 'store' then o.org else 'U' end
+    case when o.org_flag = '2' or l.level = 'region' then p.org when l.level = 'store' then o.org else o.unit end
       as manager_org,
     case when o.org_flag = '2' or l.level = 'region' then p.org_code when l.level = 'store' then o.org_code
-      else 'WORLD' end as manager_code,
+      when o.unit = 'U' then 'WORLD' else 'WORLD-V' end as manager_code,
     case when o.org_flag = '2' or l.level = 'region' then p.org_name when l.level = 'store' then o.org_name
-      else 'World' end as manager_name,
+      when o.unit = 'U' then 'World' else 'World V' end as manager_name,
     case when o.org_flag <> '2' then o.store_manager end as store_manager
   from dim_org o join dim_org p on o.parent = p.org, levels l where o.org_type = 2 and o.status = 'open'"""
 CTE["org_infos"] = """
   select o.org, o.org_code, o.org_name, p.org_code as manager_code, p.org_name as manager_name, o.org_flag,
-    o.store_manager, (select min(p_brand) from part) as brand
-  from dim_org o join dim_org p on o.parent = p.org where o.org_type = 2 and o.status = 'open'"""
+    o.store_manager, b.p_brand as brand
+  from dim_org o join dim_org p on o.parent = p.org
+  join (select p_brand, max(p_size) as largest from part group by 1) b on o.unit = 'U' or b.largest >= 48 where o.org_type = 2 and o.status = 'open'"""
 CTE["updated_orgs"] = "select org from dim_org where org_type = 2 and region in ('AMERICA', 'ASIA', 'EUROPE')"
 CTE["ledger"] = """
   select cast(s_nationkey as varchar) as org, p_brand || '|' || p_type as sku, p_brand as skc, p_type as size,
@@ -501,7 +505,7 @@ def detail_sql() -> str:
         m, u = f"m_{role}", f"u_{role}"
         joins += [
             f"left join managers {m} on {m}.org = h.{org} and {m}.template = h.template",
-            f"left join org_infos {u} on {u}.org = h.{org}",
+            f"left join org_infos {u} on {u}.org = h.{org} and {u}.brand = h.skc",
         ]
         columns += [f"{m}.{c} as {role}_{c}" for c in ("org_code", "org_name", "manager_code", "manager_name")]
         columns += [
@@ -644,7 +648,7 @@ def queries() -> dict[str, str]:
       from dim_org a left join dim_org b on a.parent = b.org"""
     q["org_info"] = "select * from org_infos"
     q["org_manager_path"] = "select * from managers"
-    q["resolve_params"] = "select template, level from levels"
+    q["resolve_params"] = "select template, unit, level from levels, (select 'U' as unit union all select 'V')"
     q["class_level"] = "select p_partkey, depth, level_code, class_label from class_labels"
     q["complete_sizes"] = "select doc, skc, size from doc_sizes"
     q["complete_sizes_moves"] = """select k.org, k.skc, d.sku from (select out_org as org, skc from moves

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock.functions import columns as C
+from restock.functions.columns import LABEL_CODE, LABEL_SOURCE
 
 # Fixed values of the derived data set.
 AS_OF = "1998-07-01"  # day the sales windows end at
@@ -22,9 +23,10 @@ LIVE_FEED_REGIONS = ("AFRICA", "ASIA", "EUROPE")
 WAREHOUSE_REGIONS = ("MIDDLE EAST",)
 UPDATED_REGIONS = ("AMERICA", "ASIA", "EUROPE")
 CLOSED_ORGS = ("NATION_24",)
+SECOND_UNIT_REGIONS = ("EUROPE", "MIDDLE EAST")
+SECOND_UNIT_SIZE = 48  # the second unit carries the brands with a part of this size or more
+UNITS = {"U": ("WORLD", "World"), "V": ("WORLD-V", "World V")}
 FEED_SCENE = "FURNITURE"
-LABEL_SOURCE = "01"
-LABEL_CODE = "00014"
 
 LEVEL_NAMES = {"operating_unit": "UNIT", "region": "REGION", "store": "STORE"}
 TRANSFER_LEVELS = {"1-URGENT": ["region"], "2-HIGH": ["store"], "3-MEDIUM": ["store", "region"]}
@@ -199,6 +201,11 @@ class Tables:
         """Stores and warehouses (nations), their regions and the operating unit, with parallel paths."""
         nation = self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         region_sk = F.concat(F.lit("R"), _text("r_regionkey"))
+
+        def unit(first: str, second: str) -> Column:
+            return F.when(F.col("r_name").isin(*SECOND_UNIT_REGIONS), second).otherwise(first)
+
+        key, code, name = (unit(u, v) for u, v in zip(("U", *UNITS["U"]), ("V", *UNITS["V"]), strict=True))
         stores = nation.select(
             _text("n_nationkey").alias("org"),
             region_sk.alias("parent"),
@@ -208,25 +215,25 @@ class Tables:
             F.when(F.col("r_name").isin(*WAREHOUSE_REGIONS), C.WAREHOUSE_FLAG).otherwise("1").alias("org_flag"),
             F.when(F.col("n_name").isin(*CLOSED_ORGS), "关闭").otherwise(C.OPEN_STATUS).alias("status"),
             F.lit("UNIT:REGION:STORE").alias("path_levels"),
-            F.concat_ws(":", F.lit("U"), region_sk, _text("n_nationkey")).alias("path_keys"),
-            F.concat_ws(":", F.lit("WORLD"), "r_name", "n_name").alias("path_codes"),
-            F.concat_ws(":", F.lit("World"), F.concat(F.lit("Region "), "r_name"), F.concat(F.lit("Store "), "n_name"))
+            F.concat_ws(":", key, region_sk, _text("n_nationkey")).alias("path_keys"),
+            F.concat_ws(":", code, "r_name", "n_name").alias("path_codes"),
+            F.concat_ws(":", name, F.concat(F.lit("Region "), "r_name"), F.concat(F.lit("Store "), "n_name"))
             .alias("path_names"),
             F.concat(F.lit("Manager "), _text("n_nationkey")).alias("store_manager"),
             F.col("r_name").alias("region"),
         )
         regions = self.raw("region").select(
             region_sk.alias("org"),
-            F.lit("U").alias("parent"),
+            key.alias("parent"),
             F.col("r_name").alias("org_code"),
             F.concat(F.lit("Region "), "r_name").alias("org_name"),
             F.lit(1).alias("org_type"),
             F.lit(None).cast("string").alias("org_flag"),
             F.lit(C.OPEN_STATUS).alias("status"),
             F.lit("UNIT:REGION").alias("path_levels"),
-            F.concat_ws(":", F.lit("U"), region_sk).alias("path_keys"),
-            F.concat_ws(":", F.lit("WORLD"), "r_name").alias("path_codes"),
-            F.concat_ws(":", F.lit("World"), F.concat(F.lit("Region "), "r_name")).alias("path_names"),
+            F.concat_ws(":", key, region_sk).alias("path_keys"),
+            F.concat_ws(":", code, "r_name").alias("path_codes"),
+            F.concat_ws(":", name, F.concat(F.lit("Region "), "r_name")).alias("path_names"),
             F.lit(None).cast("string").alias("store_manager"),
             F.col("r_name").alias("region"),
         )
@@ -234,9 +241,10 @@ class Tables:
 
     @cached_property
     def brand_mapping(self) -> DataFrame:
-        """Brands an operating unit carries: here one line for the unit, taken from the article dimension."""
-        unit = F.when(F.col("p_brand").isNotNull(), F.lit("U"))
-        return self.raw("part").groupBy(unit.alias("unit")).agg(F.min("p_brand").alias("brand"))
+        """Brands an operating unit carries: the first all of them, the second those that come in large sizes."""
+        brands = self.raw("part").groupBy(F.col("p_brand").alias("brand")).agg(F.max("p_size").alias("largest"))
+        units = F.array(F.lit("U"), F.when(F.col("largest") >= SECOND_UNIT_SIZE, "V"))
+        return brands.select(F.explode(units).alias("unit"), "brand").filter(F.col("unit").isNotNull())
 
     @cached_property
     def updated_orgs(self) -> DataFrame:
@@ -244,9 +252,9 @@ class Tables:
 
     @cached_property
     def templates(self) -> DataFrame:
-        """Planning templates; all belong to the operating unit."""
+        """Planning templates; every operating unit has all of them."""
         names = self.raw("orders").select(F.col("o_orderpriority").alias("template")).distinct()
-        return names.withColumn("unit", F.when(F.col("template").isNotNull(), F.lit("U")))
+        return names.withColumn("unit", F.explode(F.array(*[F.lit(u) for u in UNITS])))
 
     @cached_property
     def parameter_values(self) -> DataFrame:

@@ -10,6 +10,8 @@ SALES_LEVEL_LABELS = {"1": "畅", "2": "平", "3": "滞"}
 MISSING_ORG = "111"
 BLANKS = ("", "None")
 DEFAULT_TRANSFER_LEVEL = "operating_unit"
+LABEL_SOURCE = "01"
+LABEL_CODE = "00014"
 TRANSFER_LEVEL_PARAMETER = "gto.replenish_transfer_level"
 OPEN_STATUS = "正常"
 WAREHOUSE_FLAG = "2"

@@ -64,7 +64,7 @@ def managers(orgs: DataFrame, levels: DataFrame, level_names: DataFrame) -> Data
 
 
 def org_info(orgs: DataFrame, brand_mapping: DataFrame) -> DataFrame:
-    """Open orgs with their parent and the brand of their unit; orgs without a parent are left out."""
+    """Open orgs with their parent, a row for each brand of their unit; orgs without a parent are left out."""
     parents = orgs.select(
         F.col("org").alias("parent"), F.col("org_code").alias("manager_code"), F.col("org_name").alias("manager_name")
     )

@@ -52,8 +52,8 @@ def star_join(t) -> DataFrame:
         F.sum("model_qty").alias("send_package"), F.sum("received").alias("receive_package")
     )
     targets = t.targets.groupBy("org", "sku").agg(F.sum("target").alias("target_qty"))
-    steps = transfer_levels(t.templates, t.parameter_values).select(F.col("template").alias("step"), "level")
-    orgs = t.dim_org.filter(F.col("org_type") == 2).select("org", "org_name", "region", "org_flag")
+    steps = transfer_levels(t.templates, t.parameter_values).select(F.col("template").alias("step"), "unit", "level")
+    orgs = t.dim_org.filter(F.col("org_type") == 2).select("org", "unit", "org_name", "region", "org_flag")
     prices = t.raw("part").groupBy(F.concat_ws("|", "p_brand", "p_type").alias("sku")).agg(
         F.max("p_retailprice").alias("tag_price")
     )
@@ -61,8 +61,8 @@ def star_join(t) -> DataFrame:
         per_sku.join(packages, ["org", "step"])
         .join(targets, ["org", "sku"])
         .join(t.sales.select("org", "sku", "q7", "q14", "qt"), ["org", "sku"])
-        .join(steps, "step")
         .join(orgs, "org")
+        .join(steps, ["step", "unit"])
         .join(t.dim_sku.select("sku", "size", "suit", "spu"), "sku")
         .join(prices, "sku")
         .select(*STAR)

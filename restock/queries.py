@@ -306,7 +306,7 @@ def org_manager_path(t: Tables) -> DataFrame:
 
 @query
 def resolve_params(t: Tables) -> DataFrame:
-    return O.transfer_levels(t.templates, t.parameter_values).select("template", "level")
+    return O.transfer_levels(t.templates, t.parameter_values).select("template", "unit", "level")
 
 
 @query
