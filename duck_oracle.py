@@ -359,7 +359,8 @@ def run_ctes(prefix: str, source: str) -> None:
 
 RUN_COLUMNS = [f"before_run_{b}" for b in BASES] + [f"after_run_{b}" for b in BASES]
 NET_COLUMNS = [f"after_{b}" for b in BASES]
-run_ctes("all_", "moves")
+CTE["run_lines"] = "select * replace (day as run_day) from moves where day >= date '2001-07-29'"
+run_ctes("all_", "run_lines")
 run_ctes("aff_", "affected")
 CTE["net_kept"] = f"""
   select n.org, n.skc, {cat(f"case when c.org is not null then e.after_qty else n.{m} end as {m}" for m in NET_COLUMNS)}
@@ -653,7 +654,7 @@ def queries() -> dict[str, str]:
     q["complete_sizes"] = "select doc, skc, size from doc_sizes"
     q["complete_sizes_moves"] = """select k.org, k.skc, d.sku from (select out_org as org, skc from moves
       union select in_org, skc from moves) k join dim_sku d on k.skc = d.skc"""
-    q["expand_templates"] = "select org, sku, template, batch from all_steps"
+    q["expand_templates"] = f"select {_day('org, sku, template, batch')} from all_steps"
     q["two_sided_lookup"] = """select h.doc, h.skc, h.out_org, h.in_org, o.stock as out_stock, i.stock as in_stock
       from headers h
       left join (select org, skc, cast(sum(before_stock) as bigint) as stock from sku_org group by 1, 2) o

@@ -56,9 +56,11 @@ def _text(c: str) -> Column:
 class Tables:
     """Lazy views over one data folder.  Nothing is read until a view is used."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, since: str = CHANGED_SINCE, run_day: str = RUN_DAY):
+        """``since`` is the first day whose documents may still be changed, ``run_day`` the day on which older ones are planned."""
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.since, self.run_day = since, run_day
 
     def raw(self, name: str) -> DataFrame:
         reader = self.spark.read
@@ -78,13 +80,6 @@ class Tables:
 
     def _document_lines(self, lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         qty = F.col("l_quantity").cast("bigint")
-        recent = F.col("o_orderdate") >= F.lit(CHANGED_SINCE).cast("timestamp_ntz")
-        status = (
-            F.when(~recent, "0")
-            .when(F.col("l_returnflag") == "N", "1")
-            .when(F.col("l_returnflag") == "A", "2")
-            .otherwise("3")
-        )
         return (
             lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -108,9 +103,9 @@ class Tables:
                 .otherwise("2")
                 .alias("source"),
                 F.col("c_mktsegment").alias("scene"),
-                status.alias("status"),
+                self._status.alias("status"),
                 F.col("o_orderdate").cast("date").alias("day"),
-                F.greatest(F.col("o_orderdate").cast("date"), F.lit(RUN_DAY).cast("date")).alias("run_day"),
+                F.greatest(F.col("o_orderdate").cast("date"), F.lit(self.run_day).cast("date")).alias("run_day"),
                 F.when((F.col("l_tax") == 0) & (F.col("l_discount") == 0), "1").otherwise("0").alias("is_deleted"),
                 F.when(F.col("l_returnflag") == "R", "")
                 .when(F.col("l_returnflag") == "A", "None")
@@ -121,6 +116,28 @@ class Tables:
             )
         )
 
+    @property
+    def _status(self) -> Column:
+        recent = F.col("o_orderdate") >= F.lit(self.since).cast("timestamp_ntz")
+        changed = F.when(F.col("l_returnflag") == "N", "1").when(F.col("l_returnflag") == "A", "2").otherwise("3")
+        return F.when(~recent, "0").otherwise(changed)
+
+    @property
+    def _recent_orders(self) -> DataFrame:
+        return self.raw("orders").filter(F.col("o_orderdate") >= F.lit(self.since).cast("timestamp_ntz"))
+
+    def plan_lines(self, recent: bool = False) -> DataFrame:
+        """Lines in force with their planning columns only, for what needs no org and no article."""
+        orders = self._recent_orders if recent else self.raw("orders")
+        return self._live_lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            self._status.alias("status"), F.col("o_orderpriority").alias("template"), F.year("o_orderdate").alias("batch")
+        )
+
+    @cached_property
+    def run_lines(self) -> DataFrame:
+        """Lines in force of the recent days, each planned on its own day."""
+        return self.recent_moves.withColumn("run_day", F.col("day"))
+
     @cached_property
     def document_lines(self) -> DataFrame:
         """All document lines, soft-deleted ones included."""
@@ -141,8 +158,7 @@ class Tables:
     @cached_property
     def recent_moves(self) -> DataFrame:
         """Lines in force of the days in which documents may still be changed."""
-        since = F.lit(CHANGED_SINCE).cast("timestamp_ntz")
-        return self._document_lines(self._live_lineitem, self.raw("orders").filter(F.col("o_orderdate") >= since))
+        return self._document_lines(self._live_lineitem, self._recent_orders)
 
     def lines_of_day(self, day: str) -> DataFrame:
         """All lines of one day, soft-deleted ones included."""

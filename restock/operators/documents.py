@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions import columns as C
-from restock.functions.bundles import TOTAL, bundle, with_totals
+from restock.functions.bundles import TOTAL, bundle, total_bundle, with_totals
 from restock.operators.lookups import side_lookup
 
 DOC_KEYS = ["doc", "out_org", "in_org", "skc"]
@@ -81,7 +81,7 @@ def min_bundles(earlier_sizes: DataFrame) -> DataFrame:
     """Stored bundles per (org, skc, batch); of several templates the lowest text is taken."""
     keys = ["org", "skc", "template", "batch"]
     metrics = ["before_qty", "after_qty"]
-    per_template = bundle(with_totals(earlier_sizes, keys, metrics), keys, metrics)
+    per_template = total_bundle(earlier_sizes, keys, metrics)
     return per_template.groupBy("org", "skc", "batch").agg(*[F.min(m).alias(m) for m in metrics])
 
 

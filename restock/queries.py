@@ -226,7 +226,7 @@ def null_org_sentinel(t: Tables) -> DataFrame:
 
 @query
 def gate_has_changes(t: Tables) -> DataFrame:
-    return K.has_changes(t.recent_moves)
+    return K.has_changes(t.plan_lines(recent=True))
 
 
 @query
@@ -329,8 +329,7 @@ def complete_sizes_moves(t: Tables) -> DataFrame:
 
 @query
 def expand_templates(t: Tables) -> DataFrame:
-    lines = t.moves
-    return R.expand_runs(R.signed_moves(lines), R.run_order(lines)).select("org", "sku", "template", "batch")
+    return _day_text(R.expand_runs(*_signed(t)).select("day", "org", "sku", "template", "batch"), "day")
 
 
 @query
@@ -422,7 +421,7 @@ def min_json_bundle(t: Tables) -> DataFrame:
 
 @query
 def latest_batch(t: Tables) -> DataFrame:
-    return D.latest_batch(t.moves)
+    return D.latest_batch(t.plan_lines())
 
 
 @query
@@ -471,7 +470,7 @@ def gs_national_skc(t: Tables) -> DataFrame:
 
 @query
 def json_bundle(t: Tables) -> DataFrame:
-    return BU.bundle(BU.with_totals(S.with_sales(t.sales), ["skc"], S.WINDOWS), ["skc"], S.WINDOWS)
+    return BU.total_bundle(S.with_sales(t.sales), ["skc"], S.WINDOWS)
 
 
 @query
@@ -532,7 +531,7 @@ def stock_metrics(t: Tables) -> DataFrame:
 @query
 def stock_metrics_json(t: Tables) -> DataFrame:
     matrix = stage(_matrix(t), "matrix")
-    bundles = ST.stock_bundles(ST.stock_metrics(matrix))
+    bundles = ST.stock_bundles(matrix)
     return _day_text(bundles.join(ST.stock_attributes(matrix), ST.KEYS), "first_day")
 
 
@@ -541,12 +540,11 @@ def stock_metrics_json(t: Tables) -> DataFrame:
 
 @query
 def template_order(t: Tables) -> DataFrame:
-    return _day_text(R.run_order(t.moves), "day")
+    return _day_text(R.run_order(t.run_lines), "day")
 
 
 def _signed(t: Tables) -> tuple[DataFrame, DataFrame]:
-    lines = t.moves
-    return R.signed_moves(lines), R.run_order(lines)
+    return R.signed_moves(t.run_lines), R.run_order(t.run_lines)
 
 
 @query
@@ -569,7 +567,7 @@ def stock_before_after_json(t: Tables) -> DataFrame:
 
 @query
 def net_stock_after(t: Tables) -> DataFrame:
-    signed = stage(R.signed_moves(t.moves), "signed")
+    signed = stage(R.signed_moves(t.run_lines), "signed")
     return _day_text(R.net_after(signed, _skus(t), t.sku_org, BASES), "day")
 
 
