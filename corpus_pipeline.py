@@ -45,8 +45,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit, begin and end included), and digests of the ids and of their text."""
     configure(spark)
     model = public_tokenizers.path(MODEL)
-    ids = docs.select("doc_id", piece.encode(F.col("text"), model).alias("ids"))
-    return ids.withColumn("decoded", piece.decode(F.col("ids"), model)).select(
+    coded = docs.select("doc_id", piece.there_and_back(F.col("text"), model).alias("c"))
+    return coded.select("doc_id", "c.*").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         "ids",

@@ -204,6 +204,19 @@ def encode(text: Column, path: str) -> Column:
     return ids(text)
 
 
+def there_and_back(text: Column, path: str) -> Column:
+    """A struct of the ids of each text, as ``encode`` gives, and the text ``decoded`` from these ids, in one worker."""
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = encoder(path)
+        for texts in batches:
+            ids = own.encode(texts)
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(map(own.decode, ids), dtype=object)})
+
+    return both(text)
+
+
 def decode(ids: Column, path: str) -> Column:
     """The text of each binary of ids; null stays null, no ids are the empty text."""
 

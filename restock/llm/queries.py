@@ -62,8 +62,8 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = _read(spark, folder, "documents").select("doc_id", piece.encode(F.col("text"), model).alias("ids"))
-    return ids.withColumn("decoded", piece.decode(F.col("ids"), model)).select(
+    coded = _read(spark, folder, "documents").select("doc_id", piece.there_and_back(F.col("text"), model).alias("c"))
+    return coded.select("doc_id", "c.*").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -61,7 +61,9 @@ def test_a_whole_text_without_words_apart(encoder, monkeypatch):
 def test_columns(spark):
     rows = samples.awkward(spark)
     found = rows.withColumn("ids", piece.encode(F.col("text"), PATH)).withColumn("decoded", piece.decode(F.col("ids"), PATH))
+    found = found.withColumn("both", piece.there_and_back(F.col("text"), PATH))
     for r in found.collect():
+        assert (bytes(r.both.ids), r.both.decoded) == (bytes(r.ids), r.decoded)
         expected = LIBRARY.encode(r.text or "", add_bos=True, add_eos=True)
         assert np.frombuffer(r.ids, "<u4").tolist() == expected and r.decoded == LIBRARY.decode(expected)
     assert samples.none(spark).select(piece.encode(F.col("text"), PATH)).collect() == []
