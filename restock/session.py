@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from typing import TypeVar
@@ -26,6 +26,7 @@ DEFAULTS = {
 }
 
 _local_folders: dict[str, str] = {}
+_made: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -78,7 +79,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/restock/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/restock/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def work_paths() -> list[str]:
+    """Paths handed out so far by this process and not discarded."""
+    return list(_made)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete what was written to some work paths, once nothing is computed from it any more."""
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        place = files(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _made.remove(path)
 
 
 def together(spark: SparkSession, *builders: Callable[[], T]) -> list[T]:
