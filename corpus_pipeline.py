@@ -1,49 +1,70 @@
 """A training corpus from raw documents: keep good texts, one of each copy and near copy, mix the sources, encode.
 
 Each stage takes (spark, docs, sf_dir) and gives the documents it keeps, with the columns of documents; the last gives the
-token ids.  Between stages the documents are written and read again.
+token ids.  Between stages the documents are written and read again, and a stage that begins discards what the one before
+it had written on its way: its result must have been written by then.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock.llm import exact, labelled, mixing, near, piece, quality
-from restock.session import configure, stage
+from restock.session import configure, discard, stage, work_paths
 
 MODEL = "piece_bpe_32k.model"
+_before: list[str] = []  # what the stage before has written on its way
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage_of_pipeline(function: Stage) -> Stage:
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        there = set(work_paths())
+        discard(configure(spark), [p for p in _before if p in there])
+        there = set(work_paths())
+        out = function(spark, docs, sf_dir)
+        _before[:] = [p for p in work_paths() if p not in there]
+        return out
+
+    return run_stage
 
 
+@stage_of_pipeline
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more by trees fitted to the labels; labels only train, and a third of them is held out."""
-    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     forest = quality.train(labelled.sample(docs, labels, "quality", labelled.in_fold("doc_id", 3, 1)))
     return docs.filter(quality.score(F.col("text"), forest) >= 0.5)
 
 
+@stage_of_pipeline
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal up to white space, the one with the smallest id."""
-    configure(spark)
     return exact.deduplicate(docs)
 
 
+@stage_of_pipeline
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 or more of their five-word shingles, the one with the smallest id."""
-    configure(spark)
     return near.deduplicate(docs, width=5)
 
 
+@stage_of_pipeline
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, once per pass over its source."""
-    configure(spark)
     return mixing.mix_rows(docs)
 
 
+@stage_of_pipeline
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit, begin and end included), and digests of the ids and of their text."""
-    configure(spark)
     model = public_tokenizers.path(MODEL)
     coded = docs.select("doc_id", piece.there_and_back(F.col("text"), model).alias("c"))
     return coded.select("doc_id", "c.*").select(

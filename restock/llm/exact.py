@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from restock.llm.storing import store
 from restock.session import stage
 
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -120,6 +121,6 @@ def groups(rows: DataFrame, text: str = "text", id_column: str = "doc_id", at: s
 
 def deduplicate(rows: DataFrame, text: str = "text", id_column: str = "doc_id", **options) -> DataFrame:
     """The rows that stay, with all their columns."""
-    kept = stage(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "exact-rows")
+    kept = store(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "exact-rows")
     found = groups(kept.select("at", F.col(f"row.`{id_column}`").alias("id"), F.col(f"row.`{text}`").alias("text")), "text", "id", "at", **options)
     return kept.join(found.filter("kept").select("at"), "at", "left_semi").select("row.*")

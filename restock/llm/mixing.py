@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from restock.llm.draws import split
+from restock.llm.draws import let, split
+from restock.llm.storing import store
 from restock.session import stage
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -151,7 +152,7 @@ def mix_rows(rows: DataFrame, text: str = "text", source: str = "source", id_col
 
     All columns are those of ``rows``; ``n_chars``, if there, is that of the new text.  Rows of which nothing is taken go.
     """
-    kept = stage(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "mix-rows")
+    kept = store(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "mix-rows")
     flat = kept.select("at", F.col(f"row.`{id_column}`").alias("id"), F.col(f"row.`{source}`").alias("source"), F.col(f"row.`{text}`").alias("text"))
     mix = Mix(flat, id_column="id", at="at", **options)
     spans = mix.pieces.groupBy("at", "epoch", "size").agg(
@@ -159,13 +160,13 @@ def mix_rows(rows: DataFrame, text: str = "text", source: str = "source", id_col
     )
     spans = spans.select("at", "n", "size", F.when(F.col("n") < F.col("size"), F.col("spans")).alias("spans"))
     own = F.col(f"row.`{text}`")
-    found = F.regexp_extract_all(own, F.lit(WORD), F.lit(0))
-    some = F.transform(found, lambda w: w)  # the words, split once per row
-    drawn = F.array_join(
-        F.flatten(F.transform("spans", lambda s: F.slice(F.col("found"), (s["first_word"] + 1).cast("int"), s["n_words"].cast("int")))), " "
-    )
-    joined = kept.join(spans, "at").withColumn("found", F.when(F.col("spans").isNotNull(), some))
-    joined = joined.withColumn("new", F.when(F.col("spans").isNull(), own).otherwise(drawn))
+
+    def drawn(found: Column) -> Column:
+        cut = F.transform("spans", lambda s: F.slice(found, (s["first_word"] + 1).cast("int"), s["n_words"].cast("int")))
+        return F.array_join(F.flatten(cut), " ")
+
+    new = F.when(F.col("spans").isNull(), own).otherwise(let(F.regexp_extract_all(own, F.lit(WORD), F.lit(0)), drawn))
+    joined = kept.join(spans, "at").withColumn("new", new)
     columns = [
         F.col("new").alias(c) if c == text else F.length("new").cast(rows.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c)
         for c in rows.columns

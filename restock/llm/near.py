@@ -13,7 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restock.session import stage, work_path
+from restock.llm.storing import store
+from restock.session import stage
 
 SYMBOLS = 96  # of 16 bits each
 DISTANCE = 35  # symbols in which a pair may differ; at a similarity of 0.8 the mean is 19.2, the deviation 3.9
@@ -22,7 +23,7 @@ PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
 LEAD = ["l0", "l1", "l2"]
 CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
-KEPT = 300_000
+KEPT = 150_000
 STEP = 4096
 SLOTS = 1 << 20
 
@@ -236,13 +237,6 @@ def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _store(df: DataFrame, name: str) -> DataFrame:
-    """As ``stage``, packed more tightly."""
-    path = work_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Links:
     """Links between the rows of a written table (at, id, text); ``at`` is unique.
 
@@ -352,12 +346,12 @@ class Links:
 
 def written(rows: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(at, id, text) of all rows, written once so that ``at`` holds."""
-    return _store(rows.select(F.monotonically_increasing_id().alias("at"), F.col(id_column).alias("id"), F.col(text).alias("text")), "near-texts")
+    return store(rows.select(F.monotonically_increasing_id().alias("at"), F.col(id_column).alias("id"), F.col(text).alias("text")), "near-texts")
 
 
 def deduplicate(rows: DataFrame, text: str = "text", id_column: str = "doc_id", **options) -> DataFrame:
     """The rows that stay, one of each component, with all their columns."""
-    kept = _store(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "near-rows")
+    kept = store(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "near-rows")
     flat = kept.select("at", F.col(f"row.`{id_column}`").alias("id"), F.col(f"row.`{text}`").alias("text"))
     stays = Links(flat, **options).components().filter("stays")
     return kept.join(stays.select("at"), "at", "left_semi").select("row.*")

@@ -71,26 +71,32 @@ def test_awkward_tables(spark, tmp_path, name, texts):
         assert found == []
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages(spark, tmp_path):
     """Each stage against plain Python on what the stage before it kept."""
+
+    def written(df):
+        path = f"{tmp_path}/{len(list(tmp_path.iterdir()))}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, before = docs.columns, {r.doc_id: r for r in docs.collect()}
     steps = dict(corpus_pipeline.STAGES)
     assert len(steps) == 5
 
-    good = steps["quality classifier"](spark, docs, FOLDER)
+    good = written(steps["quality classifier"](spark, docs, FOLDER))
     scored = {r.doc_id for r in CATALOGUE["op1_quality"](spark, FOLDER).collect() if r.predicted == 1}
     kept = {r.doc_id: r for r in good.collect()}
     assert good.columns == columns and set(kept) == scored and all(before[i] == r for i, r in kept.items())
 
-    single = steps["exact dedup"](spark, good, FOLDER)
+    single = written(steps["exact dedup"](spark, good, FOLDER))
     first: dict[str, int] = {}
     for i in sorted(kept):
         first.setdefault(re.sub("[\x20\x09-\x0d]+", " ", kept[i].text), i)
     rows = {r.doc_id: r for r in single.collect()}
     assert single.columns == columns and set(rows) == set(first.values()) and all(before[i] == r for i, r in rows.items())
 
-    apart = steps["MinHash near-dedup"](spark, single, FOLDER)
+    apart = written(steps["MinHash near-dedup"](spark, single, FOLDER))
     sets = {i: near.shingles(r.text, 5) for i, r in rows.items()}
     root = {i: i for i in sets}
     for i in sorted(sets):
@@ -101,7 +107,7 @@ def test_pipeline_stages(spark):
     left = {r.doc_id: r for r in apart.collect()}
     assert apart.columns == columns and set(left) == set(root.values()) and all(before[i] == r for i, r in left.items())
 
-    mixed = steps["mixing sources"](spark, apart, FOLDER)
+    mixed = written(steps["mixing sources"](spark, apart, FOLDER))
     taken: Counter = Counter()
     words = {i: r.text.split() for i, r in left.items()}
     for r in mixed.collect():
