@@ -23,6 +23,8 @@ PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
 LEAD = ["l0", "l1", "l2"]
 CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
+COUNTED = {"n": "lead_n", "shared": "lead_shared"}
+CROWD = 16  # members of a bucket from which on it pays to count shared shingles
 KEPT = 150_000
 STEP = 4096
 SLOTS = 1 << 20
@@ -228,9 +230,18 @@ def connected(links: DataFrame) -> DataFrame:
     )
 
 
-def _of(order: Column | str) -> list[Column]:
+def _shingle_hashes(text: Column, width: int) -> Column:
+    @F.pandas_udf("array<long>")
+    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([hashed(t, width).view(np.int64) for t in texts], dtype=object)
+
+    return make(text)
+
+
+def _of(order: Column | str, carried: dict[str, str] = CARRIED) -> list[Column]:
     """What is carried by the member that comes first."""
-    return [F.min_by(x, order).alias(y) for x, y in CARRIED.items()]
+    return [F.min_by(x, order).alias(y) for x, y in carried.items()]
 
 
 def _pairs(a: str, b: str) -> list[Column]:
@@ -248,8 +259,8 @@ class Links:
 
     Members of a bucket that are in one component already need no pair.  So a bucket's members are first compared with its
     least member, then those outside its largest component with a member of that; at last all pairs of a bucket that
-    still are in different components are compared, every one.  A group of near copies thus costs pairs in
-    proportion to its rows, and no pair between components is left out.
+    still are in different components are compared, every one that may be similar by the shingles its sets share with
+    anyone.  A group of near copies thus costs pairs in proportion to its rows, and no pair between components is left out.
     """
 
     def __init__(self, rows: DataFrame, width: int = 5, percent: int = PERCENT, distance: int = DISTANCE, errors: int = ERRORS):
@@ -277,32 +288,59 @@ class Links:
         members = members.filter("size > 2")
         leaders = members.select("key", F.col("lead").alias("class"), *[F.col(y).alias(x) for x, y in CARRIED.items()]).distinct()
         self.buckets = stage(members.select("key", "class", *CARRIED).unionByName(leaders), "near-large")
+        self.shared = self._count_shared()
         self._test(self._beside())
         self._test(self._across())
 
+    def _held(self) -> DataFrame:
+        return self.buckets.join(self._roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+
+    def _count_shared(self) -> DataFrame:
+        """(class, n, shared) of the members of crowded buckets with several components: how many of a member's n shingles
+        any other of these classes has.
+
+        Two sets have no more in common than either shares with anyone, so near copies with many changes of their own
+        need not be compared with each other and with a whole group.  Shingles are counted, and only those that are found
+        once are counted again, by class; no shingle's rows are gathered.
+        """
+        crowds = self._held().groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+        crowds = stage(crowds.filter((F.col("size") >= CROWD) & (F.col("low") < F.col("high"))).select("key"), "near-crowds")
+        asked = stage(self.buckets.join(crowds, "key", "left_semi").select("class").distinct(), "near-crowded")
+        texts = self._texts(asked.select("class")).join(asked.select(F.col("class").alias("at")), "at", "left_semi")
+        each = texts.select("at", F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
+        alone = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("at").alias("class")).filter("times = 1")
+        alone = alone.groupBy("class").agg(F.count("*").alias("own"))
+        shared = asked.join(self.signed.select("class", "n"), "class").join(alone, "class", "left")
+        return stage(shared.select("class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared")), "near-shared")
+
+    def _possible(self) -> Column:
+        """Whether two sets may be similar enough by what they share at all; true where that was not counted."""
+        most = F.least("shared", "lead_shared") * (100 + self.percent) >= (F.col("n") + F.col("lead_n")) * self.percent
+        return F.when(F.col("shared").isNotNull() & F.col("lead_shared").isNotNull(), most).otherwise(True)
+
     def _mixed_buckets(self) -> DataFrame:
         """Members of buckets that hold several components, with the component, the bucket's largest and a member of that."""
-        held = self.buckets.join(self._roots.withColumnRenamed("node", "class"), "class", "left")
-        held = stage(held.select("key", "class", *CARRIED, F.coalesce("root", "class").alias("root")), "near-held")
+        held = self._held().join(self.shared, "class", "left")
+        held = stage(held.select("key", "class", *CARRIED, *COUNTED, "root"), "near-held")
         some = F.xxhash64("key", "class")
-        by_root = held.groupBy("key", "root").agg(F.count("*").alias("n"), F.min_by("class", some).alias("lead"), *_of(some))
-        lead = ("lead", *CARRIED.values())
-        top = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root", *lead)).alias("top")).filter("roots > 1")
+        by_root = held.groupBy("key", "root").agg(F.count("*").alias("members"), F.min_by("class", some).alias("lead"), *_of(some, CARRIED | COUNTED))
+        lead = ("lead", *CARRIED.values(), *COUNTED.values())
+        top = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("members", "root", *lead)).alias("top")).filter("roots > 1")
         top = stage(top.select("key", F.col("top.root").alias("top"), *[F.col(f"top.{c}").alias(c) for c in lead]), "near-top")
         return held.join(top, "key")
 
     def _beside(self) -> DataFrame:
-        near = _near(SKETCH, LEAD, self.distance) & _once("gone", "lead_gone")
+        near = self._possible() & _once("gone", "lead_gone") & _near(SKETCH, LEAD, self.distance)
         return self._mixed_buckets().filter("root <> top").filter(near).select(*_pairs("class", "lead"))
 
     def _across(self) -> DataFrame:
-        members = stage(self._mixed_buckets().select("key", "class", "root", "top", *CARRIED), "near-mixed")
+        members = stage(self._mixed_buckets().select("key", "class", "root", "top", *CARRIED, *COUNTED), "near-mixed")
         minor = members.filter("root <> top").select(
-            "key", F.col("class").alias("other"), F.col("root").alias("other_root"), *[F.col(x).alias(y) for x, y in CARRIED.items()]
+            "key", F.col("class").alias("other"), F.col("root").alias("other_root"), *[F.col(x).alias(y) for x, y in (CARRIED | COUNTED).items()]
         )
         # Of two minor members the pair is made once, by the greater one.
         apart = (F.col("root") != F.col("other_root")) & ((F.col("root") == F.col("top")) | (F.col("class") < F.col("other")))
-        apart = apart & _once("gone", "lead_gone") & _near(SKETCH, LEAD, self.distance)
+        apart = apart & self._possible() & _once("gone", "lead_gone") & _near(SKETCH, LEAD, self.distance)
         return members.join(minor, "key").filter(apart).select(*_pairs("class", "other"))
 
     def _test(self, pairs: DataFrame) -> None:
@@ -317,18 +355,25 @@ class Links:
         near = near.withColumn("distance", _differ(F.col("s_a"), F.col("s_b"))).filter(F.col("distance") <= self.distance)
         near = stage(near.select("a", "b"), "near-candidates")
 
-        def slot(c: str) -> Column:
-            return F.pmod(F.xxhash64(c), F.lit(SLOTS)).alias("slot")
-
-        # The slots of the ids asked for, SLOTS at most, thin out the texts before they are shuffled.
-        asked = near.select(slot("a")).unionByName(near.select(slot("b"))).distinct()
-        texts = self.rows.select("at", "text").withColumn("slot", slot("at")).join(F.broadcast(asked), "slot", "left_semi")
+        texts = self._texts(near.select("a").union(near.select("b")))
         one, two = (texts.select(F.col("at").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab")
         found = near.join(one, "a").join(two, "b").filter(_linked(F.col("t_a"), F.col("t_b"), self.width, self.percent))
         found = stage(found.select("a", "b"), "near-links")
         self.links = found if self.links is None else self.links.unionByName(found)
         self._roots = connected(self.links)
 
+    def _texts(self, asked: DataFrame) -> DataFrame:
+        """(at, text) of the rows asked for and of some others.
+
+        The slots of the ids asked for, ``SLOTS`` at most, thin out the texts before they are shuffled.
+        """
+
+        def slot(c: str) -> Column:
+            return F.pmod(F.xxhash64(c), F.lit(SLOTS)).alias("slot")
+
+        slots = asked.select(slot(asked.columns[0])).distinct()
+        return self.rows.select("at", "text", slot("at")).join(F.broadcast(slots), "slot", "left_semi").select("at", "text")
+
     def components(self) -> DataFrame:
         """Per row: at, id, n_shingles, component_id (the least id of the component) and stays, true for one row of each.
 
