@@ -23,7 +23,7 @@ MAGIC = b"IDBLOCK1"
 HEAD = struct.Struct("<8sIIQQQ")  # at the file's end: magic, bits, ids a block, blocks, documents, ids
 BLOCK_IDS = 65_536
 READ_IDS = 1 << 20
-KEPT = 250_000
+KEPT = 400_000
 KEPT_CHARS = 40
 BATCH_CHARS = 4_000_000
 
