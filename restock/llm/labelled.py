@@ -16,8 +16,8 @@ def in_fold(id_column: str, folds: int, fold: int) -> Column:
 def sample(documents: DataFrame, labels: DataFrame, label: str, held_out: Column, text: str = "text", id_column: str = "doc_id", bound: int = SAMPLE) -> DataFrame:
     """(id, label, text) of at most ``bound`` labelled documents that are not held out, chosen by a hash of the id.
 
-    A document labelled more than once has its highest label.  The list of ids is no longer than ``bound``, so it is
-    broadcast, and the texts are taken out of one scan.
+    A document labelled more than once has its highest label, one that is given more than once its least text.  The list
+    of ids is no longer than ``bound``, so it is broadcast, and the texts are taken out of one scan.
     """
     chosen = (
         labels.filter(~held_out & F.col(label).isNotNull() & F.col(id_column).isNotNull())
@@ -27,4 +27,4 @@ def sample(documents: DataFrame, labels: DataFrame, label: str, held_out: Column
         .limit(bound)
     )
     texts = documents.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))

@@ -16,6 +16,7 @@ PIVOTS = 128
 SEGMENT_ROWS = 4096
 BLOCK_ROWS = 128
 GROUP_QUERIES = 1024
+PART_SEGMENTS = 512
 NO_ID = 2**63 - 1
 KINDS = ("<i2", "<i4", "<i8")
 
@@ -173,18 +174,26 @@ def search(segments: DataFrame, every: int, k: int) -> DataFrame:
     once = once.join(ranks, "segment").select(group.alias("group"), F.struct("query_id", "q", "floor").alias("x"))
     gathered = stage(once.groupBy("group").agg(F.collect_list("x").alias("queries")), "topk-groups")
 
-    def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for r in batch.itertuples():
-                q = _rows([x["q"] for x in r.queries])
-                most, least = (np.frombuffer(x, "<i8")[None] for x in (r.most, r.least))
-                keep.append(bool((_bounds(q, most, least)[:, 0] >= np.array([x["floor"] for x in r.queries])).any()))
-            yield batch.loc[keep, ["group", "segment"]]
-
-    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group")
-    limits = segments.select("segment", "most", "least", numbers)
-    pairs = limits.join(gathered, "group").mapInPandas(reached, "group long, segment long")
+    def reached(limits: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        queries = [x for qs in asking["queries"] for x in qs]
+        if not queries:
+            return limits.loc[[], ["group", "segment"]]
+        q, floors = _rows([x["q"] for x in queries]), np.array([x["floor"] for x in queries])
+        keep = [
+            bool((_bounds(q, np.frombuffer(most, "<i8")[None], np.frombuffer(least, "<i8")[None])[:, 0] >= floors).any())
+            for most, least in zip(limits["most"], limits["least"], strict=True)
+        ]
+        return limits.loc[keep, ["group", "segment"]]
+
+    # A group of queries looks at the limits of many segments at a time.
+    parts = max(1, -(-segments.count() // PART_SEGMENTS))
+
+    def upto(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    limits = segments.select("segment", "most", "least", F.pmod(F.xxhash64("segment"), F.lit(parts)).alias("part"), upto(groups).alias("group"))
+    asking = gathered.select("group", "queries", upto(parts).alias("part"))
+    pairs = limits.groupBy("group", "part").cogroup(asking.groupBy("group", "part")).applyInPandas(reached, "group long, segment long")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

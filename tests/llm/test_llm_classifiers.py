@@ -25,7 +25,7 @@ def test_folds(spark):
 def test_sample(spark):
     marks = labels(spark, [(0, 1, 0, "", ""), (0, 0, 1, "", ""), (5, 1, None, "", ""), (1, 0, 0, "", ""), (None, 1, 1, "", ""), (77, 1, 1, "", "")])
     found = labelled.sample(samples.awkward(spark), marks, "quality", F.lit(False))
-    assert sorted((r.id, r.label, r.text[:9]) for r in found.collect()) == [(0, 1, "The quick"), (1, 0, ""), (5, 1, "the quick"), (5, 1, "the quick")]
+    assert sorted((r.id, r.label, r.text[:9]) for r in found.collect()) == [(0, 1, "The quick"), (1, 0, ""), (5, 1, "the quick")]
     assert labelled.sample(samples.awkward(spark), marks, "quality", F.lit(False), bound=2).select("id").distinct().count() <= 2
     assert labelled.sample(samples.awkward(spark), marks, "quality", F.col("doc_id") == 5).filter("id = 5").count() == 0
 

@@ -42,6 +42,7 @@ def small(monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
     monkeypatch.setattr(topk, "GROUP_QUERIES", 10)
     monkeypatch.setattr(topk, "PIVOTS", 6)
+    monkeypatch.setattr(topk, "PART_SEGMENTS", 3)
 
 
 @pytest.mark.parametrize("spread", [0.02, 1.0, 1000.0])
