@@ -23,8 +23,9 @@ PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
 LEAD = ["l0", "l1", "l2"]
 CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
-COUNTED = {"n": "lead_n", "shared": "lead_shared"}
-CROWD = 16  # members of a bucket from which on it pays to count shared shingles
+COUNTED = {"n": "lead_n", "common": "lead_common"}
+CROWD = 16  # members of a bucket from which on it pays to count shingles
+RARE = 16  # classes of the crowds that a rare shingle is found in, at most
 KEPT = 150_000
 STEP = 4096
 SLOTS = 1 << 20
@@ -259,8 +260,8 @@ class Links:
 
     Members of a bucket that are in one component already need no pair.  So a bucket's members are first compared with its
     least member, then those outside its largest component with a member of that; at last all pairs of a bucket that
-    still are in different components are compared, every one that may be similar by the shingles its sets share with
-    anyone.  A group of near copies thus costs pairs in proportion to its rows, and no pair between components is left out.
+    still are in different components are compared, every one that may be similar by counts of its rare and its common
+    shingles.  A group of near copies thus costs pairs in proportion to its rows, and no pair between components is left out.
     """
 
     def __init__(self, rows: DataFrame, width: int = 5, percent: int = PERCENT, distance: int = DISTANCE, errors: int = ERRORS):
@@ -276,51 +277,58 @@ class Links:
         self.signed = stage(chosen.select(F.col("at").alias("class"), "n", "signature", *SKETCH), "near-signatures")
 
         both = F.arrays_zip(_keys(F.col("signature"), distance, errors).alias("key"), _left_out(F.col("signature"), distance, errors).alias("gone"))
-        keyed = self.signed.select("class", *SKETCH, F.inline(both)).repartition("key")
-        leads = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("lead"), *_of("class"))
-        near = _near(SKETCH, LEAD, distance) & _once("gone", "lead_gone")
+        keyed = self.signed.select("class", F.inline(both)).repartition("key")
+        leads = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("lead"), F.min_by("gone", "class").alias("lead_gone"))
         # A bucket of two is done with its one pair; if that is too far apart, nothing is left of it.
-        members = keyed.join(leads.filter("size > 1"), "key").filter((F.col("class") != F.col("lead")) & ((F.col("size") > 2) | near))
-        members = stage(members.withColumn("near", near), "near-buckets")
+        once = _once("gone", "lead_gone")
+        members = keyed.join(leads.filter("size > 1"), "key").filter((F.col("class") != F.col("lead")) & ((F.col("size") > 2) | once))
+        members = stage(members, "near-buckets")
+        own = self.signed.select("class", *SKETCH)
+        lead = self.signed.select(F.col("class").alias("lead"), *[F.col(x).alias(y) for x, y in zip(SKETCH, LEAD, strict=True)])
+        near = once & _near(SKETCH, LEAD, distance)
+        members = members.join(own, "class").join(lead, "lead").filter((F.col("size") > 2) | near)
+        members = stage(members.withColumn("near", near), "near-members")
 
         self.links, self.tested = None, None
         self._test(members.filter("near").select(*_pairs("class", "lead")))
         members = members.filter("size > 2")
         leaders = members.select("key", F.col("lead").alias("class"), *[F.col(y).alias(x) for x, y in CARRIED.items()]).distinct()
         self.buckets = stage(members.select("key", "class", *CARRIED).unionByName(leaders), "near-large")
-        self.shared = self._count_shared()
+        self._count_shingles()
         self._test(self._beside())
         self._test(self._across())
 
     def _held(self) -> DataFrame:
         return self.buckets.join(self._roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
 
-    def _count_shared(self) -> DataFrame:
-        """(class, n, shared) of the members of crowded buckets with several components: how many of a member's n shingles
-        any other of these classes has.
+    def _count_shingles(self) -> None:
+        """Look at the shingles of the members of crowded buckets with several components.
 
-        Two sets have no more in common than either shares with anyone, so near copies with many changes of their own
-        need not be compared with each other and with a whole group.  Shingles are counted, and only those that are found
-        once are counted again, by class; no shingle's rows are gathered.
+        ``rare`` are those that few, but several, of these classes have; ``common`` tells for each class how many of its n
+        shingles more of them have.  Two sets have in common what rare shingles they share, and no more of the others than
+        either has; so near copies with changes of their own need not be compared with a whole group.
         """
         crowds = self._held().groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
         crowds = stage(crowds.filter((F.col("size") >= CROWD) & (F.col("low") < F.col("high"))).select("key"), "near-crowds")
         asked = stage(self.buckets.join(crowds, "key", "left_semi").select("class").distinct(), "near-crowded")
         texts = self._texts(asked.select("class")).join(asked.select(F.col("class").alias("at")), "at", "left_semi")
-        each = texts.select("at", F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
-        alone = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("at").alias("class")).filter("times = 1")
-        alone = alone.groupBy("class").agg(F.count("*").alias("own"))
-        shared = asked.join(self.signed.select("class", "n"), "class").join(alone, "class", "left")
-        return stage(shared.select("class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared")), "near-shared")
-
-    def _possible(self) -> Column:
-        """Whether two sets may be similar enough by what they share at all; true where that was not counted."""
-        most = F.least("shared", "lead_shared") * (100 + self.percent) >= (F.col("n") + F.col("lead_n")) * self.percent
-        return F.when(F.col("shared").isNotNull() & F.col("lead_shared").isNotNull(), most).otherwise(True)
+        each = texts.select(F.col("at").alias("class"), F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
+        each = stage(each, "near-shingles")
+        few = stage(each.groupBy("shingle").agg(F.count("*").alias("times")).filter(F.col("times") <= RARE), "near-few")
+        found = stage(each.join(few, "shingle"), "near-rare")
+        self.rare = found.filter("times > 1").select("class", "shingle")
+        own = found.groupBy("class").agg(F.count("*").alias("own"))
+        counted = asked.join(self.signed.select("class", "n"), "class").join(own, "class", "left")
+        self.counted = stage(counted.select("class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "near-counted")
+
+    def _possible(self, rare: Column | int = 0) -> Column:
+        """Whether two sets that share so many rare shingles may be similar enough; true where that was not counted."""
+        most = (F.least("common", "lead_common") + rare) * (100 + self.percent) >= (F.col("n") + F.col("lead_n")) * self.percent
+        return F.when(F.col("common").isNotNull() & F.col("lead_common").isNotNull(), most).otherwise(True)
 
     def _mixed_buckets(self) -> DataFrame:
         """Members of buckets that hold several components, with the component, the bucket's largest and a member of that."""
-        held = self._held().join(self.shared, "class", "left")
+        held = self._held().join(self.counted, "class", "left")
         held = stage(held.select("key", "class", *CARRIED, *COUNTED, "root"), "near-held")
         some = F.xxhash64("key", "class")
         by_root = held.groupBy("key", "root").agg(F.count("*").alias("members"), F.min_by("class", some).alias("lead"), *_of(some, CARRIED | COUNTED))
@@ -335,13 +343,22 @@ class Links:
 
     def _across(self) -> DataFrame:
         members = stage(self._mixed_buckets().select("key", "class", "root", "top", *CARRIED, *COUNTED), "near-mixed")
-        minor = members.filter("root <> top").select(
-            "key", F.col("class").alias("other"), F.col("root").alias("other_root"), *[F.col(x).alias(y) for x, y in (CARRIED | COUNTED).items()]
-        )
+
+        def others(rows: DataFrame, *more: str) -> DataFrame:
+            renamed = {"class": "other", "root": "other_root", **CARRIED, **COUNTED}
+            return rows.select(*more, *[F.col(x).alias(y) for x, y in renamed.items() if x in rows.columns])
+
+        near = _near(SKETCH, LEAD, self.distance) & (F.col("root") != F.col("other_root"))
         # Of two minor members the pair is made once, by the greater one.
-        apart = (F.col("root") != F.col("other_root")) & ((F.col("root") == F.col("top")) | (F.col("class") < F.col("other")))
-        apart = apart & self._possible() & _once("gone", "lead_gone") & _near(SKETCH, LEAD, self.distance)
-        return members.join(minor, "key").filter(apart).select(*_pairs("class", "other"))
+        once = _once("gone", "lead_gone") & ((F.col("root") == F.col("top")) | (F.col("class") < F.col("other")))
+        within = members.join(others(members.filter("root <> top"), "key"), "key").filter(self._possible() & once & near)
+        # Pairs that only the rare shingles they share may make similar enough.
+        known = members.filter("common is not null").select("class", "root", *SKETCH, *COUNTED).distinct()
+        rare = stage(self.rare.join(known, "class"), "near-rare-members")
+        sharing = rare.join(others(rare, "shingle"), "shingle").filter((F.col("class") < F.col("other")) & near)
+        sharing = sharing.groupBy("class", "other", *COUNTED, *COUNTED.values()).agg(F.count("*").alias("rare"))
+        sharing = sharing.filter(self._possible(F.col("rare")))
+        return within.select(*_pairs("class", "other")).union(sharing.select(*_pairs("class", "other")))
 
     def _test(self, pairs: DataFrame) -> None:
         """Confirm pairs of classes not tested before; then find the components anew."""

@@ -112,8 +112,11 @@ def edited(rng, words, share):
     return [rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(10**6)) if rng.random() < share else w for w in words]
 
 
-def test_planted_copies(spark):
+@pytest.mark.parametrize(("crowd", "rare"), [(near.CROWD, near.RARE), (3, 2)])
+def test_planted_copies(spark, monkeypatch, crowd, rare):
     """Copies with few and many edits, a group of near copies that hang together by chains, and a passage that many share."""
+    monkeypatch.setattr(near, "CROWD", crowd)
+    monkeypatch.setattr(near, "RARE", rare)
     rng = random.Random(6)
     fresh = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
     texts, passage = [], fresh(40)
