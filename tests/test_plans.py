@@ -32,3 +32,31 @@ def test_filters_reach_the_scan(spark):
 def test_dedupe_reads_its_input_once(spark):
     plan = physical(CATALOGUE["dedupe_orders"](spark, FOLDER))
     assert plan.count("lineitem.parquet") == 1
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """The plans of everything that is written as Parquet on the way to a result."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **options):
+        if isinstance(self._df, DataFrame):
+            plans.append(physical(self._df))
+        return write(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["doc_detail", "doc_enrich", "carry_over_store_c", "run_day", "cdc_stream", "publish_incremental"])
+def test_no_cross_join_on_the_way(spark, written, name):
+    written.append(physical(CATALOGUE[name](spark, FOLDER)))
+    assert len(written) > 3
+    for plan in written:
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
+            assert bad not in plan
+    scans = sum(plan.count("lineitem.parquet") for plan in written)
+    assert scans <= {"doc_detail": 10, "doc_enrich": 5, "carry_over_store_c": 6, "run_day": 13}.get(name, 4), scans
