@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from restock.functions import columns as C
 from restock.functions.columns import LABEL_CODE, LABEL_SOURCE
+from restock.session import stage
 
 # Fixed values of the derived data set.
 AS_OF = "1998-07-01"  # day the sales windows end at
@@ -312,28 +313,55 @@ class Tables:
             )
         )
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        """The ledger summed per (org, sku, year, open or closed): all that stock, sales, targets, scores and bands need of it."""
+        day, flag, qty = F.col("ship_day"), F.col("l_returnflag"), F.col("qty")
+        as_of = F.lit(AS_OF).cast("date")
+
+        def part(condition: Column) -> Column:
+            return F.sum(F.when(condition, qty).otherwise(0))
+
+        def weighted(c: str) -> Column:
+            return F.sum(F.col(c).cast("decimal(4,2)") * qty.cast("decimal(9,0)")).cast("decimal(20,2)")
+
+        return self._ledger.groupBy("org", "sku", "skc", "size", F.year(day).alias("year"), "l_linestatus").agg(
+            part(F.lit(True)).alias("qty"),
+            part(flag == "R").alias("qty_r"),
+            part(flag == "N").alias("qty_n"),
+            part(flag != "N").alias("qty_not_n"),
+            part(flag == "A").alias("qty_a"),
+            F.sum(F.when(flag == "R", F.lit(0).cast("bigint")).otherwise(qty)).alias("kept"),
+            part((day < as_of) & (day >= F.date_sub(as_of, 7))).alias("q7"),
+            part((day < F.date_sub(as_of, 7)) & (day >= F.date_sub(as_of, 14))).alias("q14"),
+            part(day < as_of).alias("qt"),
+            F.min(day).alias("first_day"),
+            F.max(flag).alias("last_flag"),
+            weighted("l_discount").alias("discounted"),
+            weighted("l_tax").alias("taxed"),
+        )
+
+    def settle(self) -> None:
+        """Write the cells, so that all views of them share one pass over the ledger."""
+        self.cells = stage(self.cells, "cells")
+
     @staticmethod
-    def _stock_sums(lines: DataFrame) -> DataFrame:
+    def _stock_sums(cells: DataFrame) -> DataFrame:
         """Opening, on-road, on-order and committed quantities per (org, sku), then the stock figures from them."""
-        day = F.col("ship_day")
-        year = F.year(day)
-
-        def qty(condition: Column) -> Column:
-            return F.sum(F.when(condition, F.col("qty")).otherwise(0))
-
-        sums = lines.groupBy("org", "sku", "skc", "size").agg(
-            qty(year < 1997).alias("opening"),
-            qty((year < 1997) & (F.col("l_returnflag") == "R")).alias("returned"),
-            qty(year == 1997).alias("onroad_stock"),
-            qty((year == 1998) & (F.col("l_returnflag") == "N")).alias("onorder_in_stock"),
-            qty((year == 1998) & (F.col("l_returnflag") != "N")).alias("onorder_out_stock"),
-            qty((year == 1998) & (F.col("l_returnflag") == "A")).alias("committed_out"),
-            qty((day < F.lit(AS_OF).cast("date")) & (day >= F.date_sub(F.lit(AS_OF).cast("date"), 7))).alias("q7"),
-            qty(
-                (day < F.date_sub(F.lit(AS_OF).cast("date"), 7)) & (day >= F.date_sub(F.lit(AS_OF).cast("date"), 14))
-            ).alias("q14"),
-            qty(day < F.lit(AS_OF).cast("date")).alias("qt"),
-            F.min("ship_day").alias("first_day"),
+        year = F.col("year")
+
+        def total(c: str, condition: Column) -> Column:
+            return F.sum(F.when(condition, F.col(c)).otherwise(0))
+
+        sums = cells.groupBy("org", "sku", "skc", "size").agg(
+            total("qty", year < 1997).alias("opening"),
+            total("qty_r", year < 1997).alias("returned"),
+            total("qty", year == 1997).alias("onroad_stock"),
+            total("qty_n", year == 1998).alias("onorder_in_stock"),
+            total("qty_not_n", year == 1998).alias("onorder_out_stock"),
+            total("qty_a", year == 1998).alias("committed_out"),
+            *[F.sum(c).alias(c) for c in ("q7", "q14", "qt")],
+            F.min("first_day").alias("first_day"),
         )
         after = F.col("opening") - F.col("returned")
         pending = F.col("onroad_stock") + F.col("onorder_in_stock") - F.col("onorder_out_stock")
@@ -355,14 +383,14 @@ class Tables:
     def sku_org(self) -> DataFrame:
         """Batch sales and stock figures per (org, sku)."""
         level = F.when(F.col("qt") >= 300, "1").when(F.col("qt") >= 100, "2").otherwise("3")
-        return self._stock_sums(self._ledger).withColumn("level_code", level)
+        return self._stock_sums(self.cells).withColumn("level_code", level)
 
     @cached_property
     def sku_org_live(self) -> DataFrame:
         """Real-time twins, for orgs with a live feed and articles with open lines only."""
         fed = self.dim_org.filter(F.col("region").isin(*LIVE_FEED_REGIONS)).select("org")
-        lines = self._ledger.filter(F.col("l_linestatus") == "O").join(fed, "org", "left_semi")
-        return self._stock_sums(lines).drop("q7", "q14", "qt", "first_day")
+        open_cells = self.cells.filter(F.col("l_linestatus") == "O").join(fed, "org", "left_semi")
+        return self._stock_sums(open_cells).drop("q7", "q14", "qt", "first_day")
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -371,22 +399,18 @@ class Tables:
     @cached_property
     def targets(self) -> DataFrame:
         """Target stock per (org, sku, batch): twice what was kept; 0 where all was returned, none where nothing moved."""
-        kept = F.when(F.col("l_returnflag") == "R", F.lit(0).cast("bigint")).otherwise(F.col("qty"))
-        return (
-            self._ledger.groupBy("org", "sku", "skc", "size", F.year("ship_day").alias("batch"))
-            .agg((F.sum(kept) * 2).alias("target"))
-        )
+        by_batch = self.cells.groupBy("org", "sku", "skc", "size", F.col("year").alias("batch"))
+        return by_batch.agg((F.sum("kept") * 2).alias("target"))
 
     @cached_property
     def scores(self) -> DataFrame:
         """Send and receive scores per (batch, skc, org), exact decimals with more than two places."""
-        qty = F.col("qty").cast("decimal(9,0)")
 
         def raw(c: str) -> Column:
-            return F.sum(F.col(c).cast("decimal(4,2)") * qty).cast("decimal(20,2)") * F.lit("0.137").cast("decimal(4,3)")
+            return F.sum(c).cast("decimal(20,2)") * F.lit("0.137").cast("decimal(4,3)")
 
-        return self._ledger.groupBy(F.year("ship_day").alias("batch"), "skc", "org").agg(
-            raw("l_discount").alias("send_score"), raw("l_tax").alias("receive_score")
+        return self.cells.groupBy(F.col("year").alias("batch"), "skc", "org").agg(
+            raw("discounted").alias("send_score"), raw("taxed").alias("receive_score")
         )
 
     @cached_property
@@ -412,9 +436,7 @@ class Tables:
 
     @cached_property
     def org_skc_tags(self) -> DataFrame:
-        return self._ledger.groupBy("org", "skc").agg(
-            F.lit("return_flag").alias("tag_code"), F.max("l_returnflag").alias("tag_value")
-        )
+        return self.cells.groupBy("org", "skc").agg(F.lit("return_flag").alias("tag_code"), F.max("last_flag").alias("tag_value"))
 
     @cached_property
     def labels_spu(self) -> DataFrame:
@@ -431,6 +453,6 @@ class Tables:
     @cached_property
     def life_cycle(self) -> DataFrame:
         """Band of an article in an org: the quarter of its first line there."""
-        return self._ledger.groupBy("org", "skc").agg(F.min("ship_day").alias("d")).select(
+        return self.cells.groupBy("org", "skc").agg(F.min("first_day").alias("d")).select(
             "org", "skc", F.concat(F.year("d").cast("string"), F.lit("Q"), F.quarter("d").cast("string")).alias("band")
         )

@@ -46,12 +46,14 @@ def star_join(t) -> DataFrame:
 
     The org filter comes first, so the facts are cut before they are aggregated and joined.
     """
+    t.settle()
     cells = stage(_org_cells(t), "org-cells")
     per_sku = cells.filter(F.col("line_count") > 0).drop("received")
     packages = cells.groupBy("org", "step").agg(
         F.sum("model_qty").alias("send_package"), F.sum("received").alias("receive_package")
     )
-    targets = t.targets.groupBy("org", "sku").agg(F.sum("target").alias("target_qty"))
+    updated = t.updated_orgs  # these joins go below the aggregates
+    targets = t.targets.join(updated, "org", "left_semi").groupBy("org", "sku").agg(F.sum("target").alias("target_qty"))
     steps = transfer_levels(t.templates, t.parameter_values).select(F.col("template").alias("step"), "unit", "level")
     orgs = t.dim_org.filter(F.col("org_type") == 2).select("org", "unit", "org_name", "region", "org_flag")
     prices = t.raw("part").groupBy(F.concat_ws("|", "p_brand", "p_type").alias("sku")).agg(
@@ -60,7 +62,7 @@ def star_join(t) -> DataFrame:
     return (
         per_sku.join(packages, ["org", "step"])
         .join(targets, ["org", "sku"])
-        .join(t.sales.select("org", "sku", "q7", "q14", "qt"), ["org", "sku"])
+        .join(t.sales.join(updated, "org", "left_semi").select("org", "sku", "q7", "q14", "qt"), ["org", "sku"])
         .join(orgs, "org")
         .join(steps, ["step", "unit"])
         .join(t.dim_sku.select("sku", "size", "suit", "spu"), "sku")

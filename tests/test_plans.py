@@ -59,4 +59,4 @@ def test_no_cross_join_on_the_way(spark, written, name):
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
             assert bad not in plan
     scans = sum(plan.count("lineitem.parquet") for plan in written)
-    assert scans <= {"doc_detail": 10, "doc_enrich": 5, "carry_over_store_c": 6, "run_day": 13}.get(name, 4), scans
+    assert scans <= {"doc_detail": 5, "doc_enrich": 4, "carry_over_store_c": 5, "run_day": 9}.get(name, 4), (name, scans)
