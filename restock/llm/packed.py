@@ -219,8 +219,8 @@ def tokens(path: str) -> Tokens:
 def write(rows: DataFrame, tokenizer: str, end_id: int, vocabulary: int, text: str = "text", id_column: str = "doc_id", block_ids: int = BLOCK_IDS) -> tuple[str, DataFrame]:
     """Encode whole texts and write their ids, each followed by ``end_id``, in ascending order of the id column.
 
-    Rows go by range of id to the tasks, and each task writes one file; a null id comes first, rows of one id in order of
-    their texts.  A null text is empty: it has the end id alone.  An empty table gives no files.  Other columns are not
+    Rows go by range of id to the tasks, and each task writes one file; a null id comes first, rows of one id in order of a
+    hash of their texts, and even equal rows are dealt to several tasks if there are many.  A null text is empty: it has the end id alone.  An empty table gives no files.  Other columns are not
     looked at.  The files lie in the shared folder, whose file system the tasks must reach through pyarrow.
     Returns the folder and the files in order: (part, file, base, docs, ids); base is the number of ids before.
     """
@@ -247,7 +247,8 @@ def write(rows: DataFrame, tokenizer: str, end_id: int, vocabulary: int, text: s
             yield pd.DataFrame({"part": [part], "file": [name], "docs": [len(out.names)], "ids": [out.starts[-1]]})
 
     ordered = rows.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "text")
+    ties = [F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("spot")]
+    ordered = ordered.select("*", *ties).repartitionByRange("id", "hash", "spot").sortWithinPartitions("id", "hash", "spot").select("id", "text")
     files = stage(ordered.mapInPandas(put, "part int, file string, docs long, ids long"), "packed-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return folder, files.select("part", "file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"), "docs", "ids")
