@@ -10,7 +10,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.llm.storing import store
@@ -23,9 +23,9 @@ PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
 LEAD = ["l0", "l1", "l2"]
 CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
-COUNTED = {"n": "lead_n", "common": "lead_common"}
-CROWD = 16  # members of a bucket from which on it pays to count shingles
-RARE = 16  # classes of the crowds that a rare shingle is found in, at most
+COUNTED = {"n": "lead_n", "common": "lead_common", "few": "lead_few"}
+CROWD = 64  # members of a bucket from which on it pays to count shingles
+RARE = 64  # classes of the crowds that a rare shingle is found in, at most
 KEPT = 150_000
 STEP = 4096
 SLOTS = 1 << 20
@@ -304,22 +304,23 @@ class Links:
     def _count_shingles(self) -> None:
         """Look at the shingles of the members of crowded buckets with several components.
 
-        ``rare`` are those that few, but several, of these classes have; ``common`` tells for each class how many of its n
-        shingles more of them have.  Two sets have in common what rare shingles they share, and no more of the others than
-        either has; so near copies with changes of their own need not be compared with a whole group.
+        ``rare`` are those that few, but several, of these classes have; ``few`` and ``common`` tell for each class how many
+        of its n shingles are rare, and how many more of the classes have.  Two sets have in common what rare shingles they
+        share, and no more of the others than either has; so near copies with changes of their own need not be compared
+        with a whole group.
         """
         crowds = self._held().groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
         crowds = stage(crowds.filter((F.col("size") >= CROWD) & (F.col("low") < F.col("high"))).select("key"), "near-crowds")
         asked = stage(self.buckets.join(crowds, "key", "left_semi").select("class").distinct(), "near-crowded")
         texts = self._texts(asked.select("class")).join(asked.select(F.col("class").alias("at")), "at", "left_semi")
         each = texts.select(F.col("at").alias("class"), F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
-        each = stage(each, "near-shingles")
-        few = stage(each.groupBy("shingle").agg(F.count("*").alias("times")).filter(F.col("times") <= RARE), "near-few")
-        found = stage(each.join(few, "shingle"), "near-rare")
+        times = F.count("*").over(Window.partitionBy("shingle"))  # no more rows of a shingle than classes
+        found = stage(each.withColumn("times", times).filter(F.col("times") <= RARE), "near-rare")
         self.rare = found.filter("times > 1").select("class", "shingle")
-        own = found.groupBy("class").agg(F.count("*").alias("own"))
+        own = found.groupBy("class").agg(F.count("*").alias("own"), F.sum((F.col("times") > 1).cast("long")).alias("few"))
         counted = asked.join(self.signed.select("class", "n"), "class").join(own, "class", "left")
-        self.counted = stage(counted.select("class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "near-counted")
+        common = (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")
+        self.counted = stage(counted.select("class", "n", common, F.coalesce("few", F.lit(0)).alias("few")), "near-counted")
 
     def _possible(self, rare: Column | int = 0) -> Column:
         """Whether two sets that share so many rare shingles may be similar enough; true where that was not counted."""
@@ -355,7 +356,8 @@ class Links:
         # Pairs that only the rare shingles they share may make similar enough.
         known = members.filter("common is not null").select("class", "root", *SKETCH, *COUNTED).distinct()
         rare = stage(self.rare.join(known, "class"), "near-rare-members")
-        sharing = rare.join(others(rare, "shingle"), "shingle").filter((F.col("class") < F.col("other")) & near)
+        may = self._possible(F.least("few", "lead_few")) & ~self._possible()
+        sharing = rare.join(others(rare, "shingle"), "shingle").filter((F.col("class") < F.col("other")) & may & near)
         sharing = sharing.groupBy("class", "other", *COUNTED, *COUNTED.values()).agg(F.count("*").alias("rare"))
         sharing = sharing.filter(self._possible(F.col("rare")))
         return within.select(*_pairs("class", "other")).union(sharing.select(*_pairs("class", "other")))
