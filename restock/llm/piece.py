@@ -19,9 +19,9 @@ MARK = "▁"
 UNKNOWN = " ⁇ "
 SEGMENT = re.compile(" *[^ ]+| +")
 APART = "\ud800"
-KEPT = 120_000
+KEPT = 60_000
 KEPT_CHARS = 48
-PAIRS = 400_000
+PAIRS = 200_000
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
