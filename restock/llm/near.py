@@ -25,7 +25,7 @@ LEAD = ["l0", "l1", "l2"]
 CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
 COUNTED = {"n": "lead_n", "common": "lead_common", "few": "lead_few"}
 CROWD = 64  # members of a bucket from which on it pays to count shingles
-RARE = 512  # classes of the crowds that a rare shingle is found in, at most
+RARE = 128  # classes of the crowds that a rare shingle is found in, at most
 KEPT = 50_000
 STEP = 4096
 SLOTS = 1 << 20
