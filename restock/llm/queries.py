@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restock.llm import exact, labelled, mixing, near, packed, piece, quality, sharding, tokencount, topk, toxicity
+from restock.llm import exact, labelled, mixing, near, packed, piece, quality, sharding, tokencount, topk, toxicity, variants
 from restock.session import configure
 
 
@@ -82,6 +82,10 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _read(spark, folder, "documents").select("doc_id", counted.alias("c")).select("doc_id", "c.*")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(variants.words(_read(spark, folder, "documents").select("doc_id", "text")))
+
+
 CATALOGUE = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,4 +97,5 @@ CATALOGUE = {
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
+    "op11_spelling_variants": op11_spelling_variants,
 }
