@@ -162,20 +162,23 @@ class Tokens:
 
     The library's byte-level pre-tokens are encoded on their own, so a text is cut into these, and only new ones go to the
     library.  They are cut by the library's rule, written out for the common characters of Latin script; a text with any
-    other character goes to the library whole.  What was met is held in two generations of bounded size.
+    other character, or with an added token of the tokenizer, goes to the library whole.  What was met is held in two
+    generations of bounded size.  With ``plain`` the strings of special tokens are plain text.
     """
 
     SPACE, LETTER, NUMBER = "\t-\r \xa0", "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
-    ODD = re.compile("[^\t-\r -~\xa0-\u024f\u2010-\u2027\u20ac]")
+    ODD = "[^\t-\r -~\xa0-\u024f\u2010-\u2027\u20ac]"
     CUT = re.compile(
         f"'(?:[stmd]|re|ve|ll)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
     )
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = plain
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (plain and t.special)]
+        self.odd = re.compile("|".join([self.ODD, *map(re.escape, added)]))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -201,7 +204,7 @@ class Tokens:
         return own | found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        odd = [t for t in texts if self.ODD.search(t)]
+        odd = [t for t in texts if self.odd.search(t)]
         whole = dict(zip(odd, self._library(odd), strict=True))
         cut = [[] if t in whole else self.CUT.findall(t) for t in texts]
         get = self._known(chain.from_iterable(cut)).__getitem__
@@ -209,11 +212,11 @@ class Tokens:
 
 
 @functools.lru_cache(maxsize=2)
-def tokens(path: str) -> Tokens:
+def tokens(path: str, plain: bool = False) -> Tokens:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
-    return Tokens(path)
+    return Tokens(path, plain)
 
 
 def write(rows: DataFrame, tokenizer: str, end_id: int, vocabulary: int, text: str = "text", id_column: str = "doc_id", block_ids: int = BLOCK_IDS) -> tuple[str, DataFrame]:

@@ -50,13 +50,16 @@ def test_file(tmp_path, bits, block_ids, monkeypatch):
 def test_ids_are_the_library_s(monkeypatch):
     monkeypatch.setattr(packed, "KEPT", 4)
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     texts = [t or "" for _, t, _ in samples.TEXTS]
-    texts += ["a b", " a b", "a b ", "a  b", "a\n b", "a \nb", "it's  we'll go 　on", "x\x1cy z", "12 345,6 !?", "A\r\n\r\nB c\td"]
+    texts += ["a b", " a b", "a b ", "a  b", "a\n b", "a \nb", "it's  we'll go 　on", "x\x1cy z", "12 345,6 !?", "A\r\n\r\nB c\td", "a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> <|endoftext|>y"]
+    assert library.encode(texts[-3], add_special_tokens=False).ids == [64, 50256, 65]
     own = packed.Tokens(PATH)
     for _ in range(2):
         found = own.encode(texts)
         assert [np.frombuffer(f, "<u4").tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    own = packed.Tokens(PATH, plain=True)
+    library.encode_special_tokens = True
+    assert [np.frombuffer(f, "<u4").tolist() for f in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_written_and_read(spark, monkeypatch):
@@ -64,7 +67,6 @@ def test_written_and_read(spark, monkeypatch):
     folder, files = packed.write(rows, PATH, 0, 50_257, block_ids=512)
     found = sorted(packed.read(folder, files).collect(), key=lambda r: r.start)
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     ordered = sorted(samples.TEXTS, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""))
     at = 0
     for r, (i, t, _) in zip(found, ordered, strict=True):
