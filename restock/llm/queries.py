@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restock.llm import exact, labelled, mixing, near, packed, piece, quality, sharding, tokencount, topk, toxicity, variants
+from restock.llm import aligned, exact, labelled, mixing, near, packed, piece, quality, sharding, tokencount, topk, toxicity, variants
 from restock.session import configure
 
 
@@ -86,6 +86,12 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variants(variants.words(_read(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = aligned.align(_read(spark, folder, "documents").select("doc_id", "text"), *paths)
+    return found.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 CATALOGUE = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -98,4 +104,5 @@ CATALOGUE = {
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_alignment": op12_token_alignment,
 }

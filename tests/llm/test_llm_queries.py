@@ -29,6 +29,7 @@ COLUMNS = {
     "op9_token_counts": "doc_id:bigint n_words:bigint n_tokens:bigint log_probability:double",
     "op10_mixing": "doc_id:bigint source:string size:bigint source_size:bigint target:double taken:bigint",
     "op11_spelling_variants": "word:string form:string root:string n:bigint n_near:bigint form_n:bigint",
+    "op12_token_alignment": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_best:bigint count_sum:bigint groups_sha256:string",
 }
 PER_DOCUMENT = sorted(set(COLUMNS) - {"op7_topk", "op11_spelling_variants"})
 
