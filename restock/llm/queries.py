@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restock.llm import aligned, exact, labelled, mixing, near, packed, piece, quality, sharding, tokencount, topk, toxicity, variants
+from restock.llm import aligned, exact, labelled, mixing, near, packed, piece, quality, sequences, sharding, tokencount, topk, toxicity, variants
 from restock.session import configure
 
 
@@ -92,6 +92,12 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "documents").select("doc_id", "text")
+    packed_rows = sequences.pack(sequences.pieces(rows, public_tokenizers.path("byte_bpe_50k.json"), 2))
+    return packed_rows.withColumnRenamed("id", "doc_id")
+
+
 CATALOGUE = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -105,4 +111,5 @@ CATALOGUE = {
     "op10_mixing": op10_mixing,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_token_alignment": op12_token_alignment,
+    "op13_sequence_packing": op13_sequence_packing,
 }

@@ -30,8 +30,9 @@ COLUMNS = {
     "op10_mixing": "doc_id:bigint source:string size:bigint source_size:bigint target:double taken:bigint",
     "op11_spelling_variants": "word:string form:string root:string n:bigint n_near:bigint form_n:bigint",
     "op12_token_alignment": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_best:bigint count_sum:bigint groups_sha256:string",
+    "op13_sequence_packing": "doc_id:bigint piece:int start:bigint length:bigint ids_crc32:bigint sequence_id:bigint offset:bigint",
 }
-PER_DOCUMENT = sorted(set(COLUMNS) - {"op7_topk", "op11_spelling_variants"})
+PER_DOCUMENT = sorted(set(COLUMNS) - {"op7_topk", "op11_spelling_variants", "op13_sequence_packing"})
 
 
 def test_all_are_registered():
