@@ -21,8 +21,9 @@ TIMES = 10  # a form occurs so many times as often as its variant
 DROPPED = 31  # of so many runs, one loses a code point
 GRAM = 3  # the shortest gram, which needs no entry in the dictionary
 BEFORE, AFTER = "^", "$"
-ENTRIES = 1 << 14  # grams of one length in the dictionary, at most
+ENTRIES = 1 << 16  # grams of one length in the dictionary, at most
 SLOTS = 1 << 16  # of the table of gram counts
+ENDS = 15  # characters of a word's beginning and end of which four bits are carried
 HELD = 200_000  # grams counted in a worker before they are passed on
 
 
@@ -59,16 +60,18 @@ class Grams:
     ``pad`` marks on both sides, has at each place the longest gram that the dictionary has there, else the one of ``GRAM``
     characters; those that lie within an earlier one are left out.
 
-    What one edit can affect: the gram at a place hangs on its own characters and the one behind them, and on earlier grams
-    only where one of these may grow over it.  So an edit at character i affects grams from i or before that reach i, or end
-    just there, and those behind i that end within a gram of the dictionary that begins at i or before.  ``affected`` is the
-    most such grams over all i; all others are in the edited word too, moved by one place at most, and in the same order.
+    What one edit can affect: the gram at a place hangs on its own characters, on the one behind them if the dictionary has
+    longer ones that begin so, and on earlier grams only where one of these may grow over it.  So an edit at character i
+    affects grams from i or before that reach i, or end just there and may grow, and those behind i that end within a gram of
+    the dictionary that begins at i or before.  All others are in the edited word too, moved by one place at most, and in the
+    same order; the bound of a word is the most that are affected over all i.
     As ``longest`` is less than half of a padded word, at least one gram is left.
     """
 
     def __init__(self, entries: set[str], counts: np.ndarray, longest: int, pad: int):
         self.entries, self.counts, self.longest, self.pad = entries, counts, longest, pad
         self.inner = {g[i:j] for g in entries for i in range(1, len(g)) for j in range(i + GRAM, len(g) + 1)}
+        self.longer = {g[:-1] for g in entries}
 
     @classmethod
     def fit(cls, found: DataFrame, shortest: int = SHORTEST, entries: int = ENTRIES) -> Grams:
@@ -122,7 +125,7 @@ class Grams:
             while first and s[first:e] in inner:
                 first -= 1
             change[first] += 1
-            change[e + 1] -= 1
+            change[e + (s[p:e] in self.longer)] -= 1
         now, most = sum(change[:pad]), 0
         for i in range(pad, pad + len(word)):
             now += change[i]
@@ -139,28 +142,48 @@ class Grams:
         return sorted(kept, key=lambda g: (self.counts[zlib.crc32(g[1].encode()) % SLOTS], g[1], g[0]))[: most + 1]
 
 
+def ends(word: str) -> tuple[int, int]:
+    """Four bits of each of the first characters, and of the last ones from the end."""
+    codes = [ord(c) & 15 for c in word[:ENDS]], [ord(c) & 15 for c in word[: -ENDS - 1 : -1]]
+    return tuple(sum(c << 4 * i for i, c in enumerate(side)) for side in codes)
+
+
+def _may_be_near() -> Column:
+    """Whether a and b, not longer than b, may be one edit apart: what they share at both ends must cover the shorter one."""
+    front, back = F.col("front_a").bitwiseXOR(F.col("front_b")), F.col("back_a").bitwiseXOR(F.col("back_b"))
+
+    def same(x: Column) -> Column:
+        return F.shiftright(F.bit_count(x.bitwiseAND(-x) - 1), 2)
+
+    needed = F.char_length("b") - 1
+    return (front == 0) | (back == 0) | (same(front) + same(back) >= needed)
+
+
 def near(found: DataFrame, shortest: int = SHORTEST, entries: int = ENTRIES) -> DataFrame:
     """Pairs (a, n_a, b, n_b) of different words (word, n) one edit apart, each once.
 
     Lists of the index are kept by gram, place and length of word.  A word of the same length has a shared gram at the same
-    place, a longer one there or one place on.  What meets in a list is verified within the join.
+    place, a longer one there or one place on.  What meets in a list is verified within the join, by its ends, then as a whole.
     """
     grams = Grams.fit(found, shortest, entries)
 
     def lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(w, n, len(w), p, g) for w, n in zip(batch["word"], batch["n"], strict=True) for p, g in grams.chosen(w)]
-            yield pd.DataFrame(rows, columns=["word", "n", "length", "place", "gram"])
+            rows = [(w, n, len(w), p, g, *ends(w)) for w, n in zip(batch["word"], batch["n"], strict=True) for p, g in grams.chosen(w)]
+            yield pd.DataFrame(rows, columns=["word", "n", "length", "place", "gram", "front", "back"])
 
-    index = stage(found.mapInPandas(lists, "word string, n long, length int, place int, gram string"), "variants-index")
+    index = stage(found.mapInPandas(lists, "word string, n long, length int, place int, gram string, front long, back long"), "variants-index")
 
     def key(longer: int, on: int) -> Column:
         return F.xxhash64("gram", F.col("length") + longer, F.col("place") + on)
 
-    asked = index.select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.explode(F.array(key(0, 0), key(1, 0), key(1, 1))).alias("key"))
-    there = index.select(F.col("word").alias("b"), F.col("n").alias("n_b"), key(0, 0).alias("key"))
+    def named(side: str) -> list[Column]:
+        return [F.col("word").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "front", "back")]]
+
+    asked = index.select(*named("a"), F.explode(F.array(key(0, 0), key(1, 0), key(1, 1))).alias("key"))
+    there = index.select(*named("b"), key(0, 0).alias("key"))
     once = (F.char_length("a") < F.char_length("b")) | (F.col("a") < F.col("b"))
-    met = asked.join(there, (asked["key"] == there["key"]) & once & (F.levenshtein("a", "b", 1) == 1))
+    met = asked.join(there, (asked["key"] == there["key"]) & _may_be_near() & once & (F.levenshtein("a", "b", 1) == 1))
     return stage(met.select("a", "n_a", "b", "n_b").distinct(), "variants-pairs")
 
 
