@@ -173,17 +173,19 @@ class Tokens:
     )
 
     def __init__(self, path: str, plain: bool = False):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.library = Tokenizer.from_file(path)
+        self.library, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
+        self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # need not be cut again
         added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (plain and t.special)]
         self.odd = re.compile("|".join([self.ODD, *map(re.escape, added)]))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _known(self, words: Iterable[str]) -> dict[str, bytes]:
         """A dict that has all the words."""
@@ -196,7 +198,7 @@ class Tokens:
                 new.append(w)
             else:
                 own[w] = ids
-        found = dict(zip(new, self._library(new), strict=True))
+        found = dict(zip(new, self._ids(self.single, new), strict=True))
         if not found or len(max(found, key=len)) <= KEPT_CHARS:
             own.update(found)
             return own
@@ -205,7 +207,7 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd = [t for t in texts if self.odd.search(t)]
-        whole = dict(zip(odd, self._library(odd), strict=True))
+        whole = dict(zip(odd, self._ids(self.library, odd), strict=True))
         cut = [[] if t in whole else self.CUT.findall(t) for t in texts]
         get = self._known(chain.from_iterable(cut)).__getitem__
         return [whole[t] if t in whole else b"".join(map(get, words)) for t, words in zip(texts, cut, strict=True)]
