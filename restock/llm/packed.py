@@ -177,6 +177,7 @@ class Tokens:
 
         self.library, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
+        self.single.encode_special_tokens = True  # what is cut off has none
         self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # need not be cut again
         added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (plain and t.special)]
         self.odd = re.compile("|".join([self.ODD, *map(re.escape, added)]))

@@ -28,22 +28,22 @@ def messages(envelopes: DataFrame, table: str) -> DataFrame:
     A nested object may be written as an object or as text holding one; both parse the same.  ``broken`` tells whether there
     is a nested text that is no object.
     """
-    # The message is parsed once and spread into columns before it is filtered.
+    # What is parsed is spread into columns, so that it is parsed once however often it is used.
     message = F.from_json(F.col("value").cast("string"), ENVELOPE)
-    data, old = F.from_json("data", FIELDS), F.from_json("oldData", FIELDS)
-    return (
-        envelopes.select(F.struct(*POSITION).alias("seq"), F.col("value").cast("string").alias("text"), F.inline(F.array(message)))
-        .filter((F.col("table") == table) | F.col("table").isNull())
-        .select(
-            "seq",
-            "text",
-            "table",
-            F.col("shardingKey").alias("key"),
-            F.upper("type").alias("op"),
-            data.alias("data"),
-            old.alias("old"),
-            ((F.col("data").isNotNull() & data.isNull()) | (F.col("oldData").isNotNull() & old.isNull())).alias("broken"),
-        )
+    spread = envelopes.select(
+        F.struct(*POSITION).alias("seq"), F.col("value").cast("string").alias("text"), F.inline(F.array(message))
+    ).filter((F.col("table") == table) | F.col("table").isNull())
+    fields = F.struct(F.from_json("data", FIELDS).alias("fields"), F.from_json("oldData", FIELDS).alias("old_fields"))
+    broken = [F.col(text).isNotNull() & F.col(found).isNull() for text, found in (("data", "fields"), ("oldData", "old_fields"))]
+    return spread.select("*", F.inline(F.array(fields))).select(
+        "seq",
+        "text",
+        "table",
+        F.col("shardingKey").alias("key"),
+        F.upper("type").alias("op"),
+        F.col("fields").alias("data"),
+        F.col("old_fields").alias("old"),
+        reduce(or_, broken).alias("broken"),
     )
 
 
@@ -99,16 +99,17 @@ def known_fields(fields: Column, columns: Sequence[str]) -> Column:
 
 
 def normalise(events: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return events.withColumn("data", known_fields(F.col("data"), columns)).withColumn(
-        "old", known_fields(F.col("old"), columns)
-    )
+    """Events with their known fields only; these are computed once, whatever uses them."""
+    known = F.struct(*[known_fields(F.col(c), columns).alias(c) for c in ("data", "old")])
+    return events.select(*[c for c in events.columns if c not in ("data", "old")], F.inline(F.array(known)))
 
 
 def changed_fields(events: DataFrame) -> DataFrame:
     """Add ``changed``: for updates the fields whose value differs from the old one, empty for other events."""
     differs = F.map_filter("data", lambda k, v: ~v.eqNullSafe(F.try_element_at(F.col("old"), k)))
     none = F.map_filter("data", lambda k, v: F.lit(False))
-    return events.withColumn("changed", F.when(F.col("op") == "UPDATE", differs).otherwise(none))
+    changed = F.when(F.col("op") == "UPDATE", differs).otherwise(none)
+    return events.select("*", F.inline(F.array(F.struct(changed.alias("changed")))))
 
 
 def fold(events: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -34,6 +34,14 @@ def test_dedupe_reads_its_input_once(spark):
     assert plan.count("lineitem.parquet") == 1
 
 
+def test_messages_are_parsed_once(spark, tables):
+    """The envelope and its two maps, and nothing again for each use."""
+    from restock.queries import _events
+
+    plan = physical(_events(tables))
+    assert plan.count("from_json") <= 5 and plan.count("map_entries") <= 16
+
+
 @pytest.fixture
 def written(monkeypatch):
     """The plans of everything that is written as Parquet on the way to a result."""
