@@ -30,6 +30,7 @@ from restock.session import configure, stage, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
 from restock.sources import tables as TB
+from restock.sources.keyed import KeyedStore
 from restock.sources.store import Store
 from restock.streaming.replica import Replica
 
@@ -666,7 +667,7 @@ def listagg_roundtrip(t: Tables) -> DataFrame:
 @query
 def publish_incremental(t: Tables) -> DataFrame:
     stored = _stored(t)
-    results = Store(t.spark, work_path(t.spark, "published"), stored.schema, "batch").replace(stored)
+    results = KeyedStore(t.spark, work_path(t.spark, "published"), stored.schema, "doc").replace(stored)
     return publish.publish(results, _fresh(t))
 
 

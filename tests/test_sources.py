@@ -8,6 +8,7 @@ from restock.session import shared_folder, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
 from restock.sources import tables as TB
+from restock.sources.keyed import KeyedStore
 from restock.sources.store import Store
 
 
@@ -100,7 +101,7 @@ def test_publish_leaves_other_partitions(spark, tmp_path):
         [("a#1", "a", 1, 2023), ("a#2", "a", 1, 2023), ("b#1", "b", 1, 2024), ("b#2", "b", 1, 2024), ("c#1", "c", 1, 2024)],
         "id string, doc string, qty bigint, batch int",
     )
-    results = Store(spark, str(tmp_path / "p"), stored.schema, "batch").replace(stored)
+    results = KeyedStore(spark, str(tmp_path / "p"), stored.schema, "doc").replace(stored)
     fresh = spark.createDataFrame([("c#new", "c", 7, 2024)], stored.schema)
     got = sorted((r.id, r.qty) for r in publish(results, fresh).collect())
     assert got == [("a#1", 1), ("a#2", 1), ("b#1", 1), ("c#new", 7)]
@@ -115,7 +116,7 @@ def test_publish_finds_documents_in_other_partitions(spark, tmp_path):
         [("a#1", "a", 1, None), ("b#1", "b", 1, None), ("c#1", "c", 1, 2024), ("d#1", "d", 1, 2024), ("e#1", "e", 1, 2025)],
         "id string, doc string, qty bigint, batch int",
     )
-    results = Store(spark, str(tmp_path / "p"), stored.schema, "batch").replace(stored)
+    results = KeyedStore(spark, str(tmp_path / "p"), stored.schema, "doc").replace(stored)
     fresh = spark.createDataFrame([("a#new", "a", 7, None), ("c#new", "c", 8, 2025), ("d#new", "d", 9, None)], stored.schema)
     got = sorted((r.id, r.batch) for r in publish(results, fresh).collect())
     assert got == [("a#new", None), ("b#1", None), ("c#new", 2025), ("d#new", None), ("e#1", 2025)]
