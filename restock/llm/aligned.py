@@ -18,7 +18,7 @@ from restock.llm.storing import store
 from restock.session import stage
 
 MARK = "▁"
-CHUNK_CHARS = 2_000_000  # of the texts that are aligned in one go, but for a longer text, which is on its own
+CHUNK_CHARS = 1_000_000  # of the texts that are aligned in one go, but for a longer text, which is on its own
 LINKS = 1 << 21  # held in one go
 MANY = 1 << 12  # links of a group from which on its repeated ids are counted before they are paired
 
@@ -54,16 +54,26 @@ class Aligner:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.tables = byte_table(self.bytewise.library.get_vocab(with_added_tokens=True)), piece_table(self.pieces)
         self.sizes = tuple(np.array(list(map(len, t)), np.int64) for t in self.tables)
+        self.places = tuple(np.cumsum(n) - n for n in self.sizes)  # of each token in all tokens' bytes in a row
+        self.bytes = tuple(np.frombuffer(b"".join(t), np.uint8) for t in self.tables)
         self.shown = tuple(_numbered(len(t), m) for t, m in zip(self.tables, (",|", ",;"), strict=True))
 
+    def _whole(self, ids: list[np.ndarray], side: int, texts: list[bytes]) -> list[bool]:
+        """Whether the bytes of the ids are those of the text, for each text."""
+        flat = np.concatenate([np.zeros(0, np.int64), *ids])
+        sizes = self.sizes[side][flat]
+        at = np.arange(sizes.sum()) + np.repeat(self.places[side][flat] - (np.cumsum(sizes) - sizes), sizes)
+        found = memoryview(self.bytes[side][at])
+        stops = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(i) for i in ids]))].tolist()
+        return [found[i:j] == t for i, j, t in zip(stops, stops[1:], texts, strict=False)]
+
     def tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The ids of both sides; none for a null or empty text and for one whose bytes either side does not give back."""
         one = [np.frombuffer(d, "<u4").astype(np.int64) for d in self.bytewise.encode([f" {t}" if t else "" for t in texts])]
         two = [np.array(i, np.int64) for i in self.pieces.encode([t or "" for t in texts], num_threads=1)]
-        none = np.zeros(0, np.int64)
-        for d, t in enumerate(texts):
-            whole = f" {t}".encode("utf-8", "replace") if t else b""
-            if not t or any(b"".join(map(s.__getitem__, i[d].tolist())) != whole for s, i in zip(self.tables, (one, two), strict=True)):
+        spaced, none = [f" {t}".encode("utf-8", "replace") if t else b"" for t in texts], np.zeros(0, np.int64)
+        for d, sides in enumerate(zip(self._whole(one, 0, spaced), self._whole(two, 1, spaced), strict=True)):
+            if not (texts[d] and all(sides)):
                 one[d] = two[d] = none
         return one, two
 
@@ -86,11 +96,11 @@ class Aligner:
         one, two = (f[["doc", "start", "end"]].assign(at=np.arange(len(f))) for f in (a, b))
         there = pd.merge_asof(one, two, on="start", by="doc", suffixes=("_a", "_b"))
         back = pd.merge_asof(two, one, on="start", by="doc", suffixes=("_b", "_a"))
-        overlaps = pd.concat([there, back])
-        equal = overlaps[overlaps["end_a"] == overlaps["end_b"]]
         for frame, at in ((a, "at_a"), (b, "at_b")):
             last = np.zeros(len(frame), np.int64)
-            last[equal[at].to_numpy(np.int64)] = 1
+            for overlaps in (there, back):
+                equal = overlaps["end_a"].to_numpy() == overlaps["end_b"].to_numpy()
+                last[overlaps[at].to_numpy()[equal].astype(np.int64)] = 1
             frame["group"] = np.cumsum(last) - last
         return a, b
 
