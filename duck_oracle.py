@@ -606,6 +606,13 @@ def queries() -> dict[str, str]:
     q["sync_day"] = """select o_orderkey, o_orderstatus, cast(cast(date_trunc('month', o_orderdate) as date) as varchar)
       as day_date, case when date_trunc('month', o_orderdate) = date '1998-07-01' then o_totalprice else 0 end as total
       from orders"""
+    q["sync_changed"] = """select o_orderkey, o_orderstatus, o_totalprice as total, cast(year(o_orderdate) as integer) as batch_id,
+      case year(o_orderdate) when 1999 then 'new' when 1996 then 'changed' when 1997 then 'changed' when 1998 then 'changed'
+        end as kind from orders
+      union all select null, null, null, 1900, 'gone'"""
+    q["sync_keys"] = """select o_orderkey, o_orderstatus, o_totalprice as total,
+      case when o_orderkey % 101 = 0 then 'new' when o_orderkey % 103 = 0 then 'changed' end as kind from orders
+      union all select -o_orderkey, null, null, 'gone' from orders where o_orderkey % 107 = 0 and o_orderkey <> 0"""
     q["sync_catalog_plan"] = " union all ".join(
         f"""select '{t}' as "table", {str(t == "lineitem").lower()} as has_batch,
         '{"batches" if t == "lineitem" else "full"}' as mode, count(*) as n_rows from {t}"""
@@ -735,11 +742,10 @@ def queries() -> dict[str, str]:
       (select *, row_number() over (partition by doc order by id) as rn from stored_docs) s
       where doc not in (select doc from fresh_docs) and (rn = 1 or batch not in (select batch from fresh_docs))
       union all select * from fresh_docs"""
-    q["run_day"] = f"""select h.doc || case when a.doc is not null then '#new' else '#1' end as id, h.doc, h.batch, h.skc,
-      h.out_org, h.in_org, a.model_qty, a.human_qty, case when a.doc is not null then h.template end as template,
-      cast(0 as bigint) as changed_lines
-      from headers h left join (select doc, {bundles(["model_qty", "human_qty"])} from affected_quantities group by 1) a
-      on h.doc = a.doc"""
+    kept = ("doc", "batch", "skc", "out_org", "in_org")
+    q["run_day"] = f"""select h.doc || case when a.doc is not null then '#new' else '#1' end as id, {cat(f"h.{c}" for c in kept)},
+      a.* exclude ({cat(kept)}), cast(0 as bigint) as changed_lines
+      from headers h left join ({q["doc_detail"]}) a on h.doc = a.doc"""
     q["cdc_parse"] = """select seq as "offset", key, op, 5 as n_fields, value from evt"""
     q["cdc_normalise"] = """select seq as "offset", key, op,
       'event_type=' || event_type || ';id=' || key || ';k=' || k || ';value=' || value as data from evt"""

@@ -24,8 +24,7 @@ from restock.operators import stock as ST
 from restock.operators import tags as T
 from restock.operators import upserts as U
 from restock.plans import daily, kpi, publish
-from restock.plans.detail import BASES as DETAIL_BASES
-from restock.plans.detail import Detail
+from restock.plans.detail import DETAIL, ENRICHED, SCORES, Detail
 from restock.session import configure, stage, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
@@ -152,6 +151,34 @@ def sync_day(t: Tables) -> DataFrame:
     return _day_text(target.current(), "day_date")
 
 
+@query
+def sync_changed(t: Tables) -> DataFrame:
+    """Copy of the years that differ: two with drifted prices, one that lacks orders, one that is not there, one too many."""
+    source = t.raw("orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("total"), F.year("o_orderdate").alias("batch_id")
+    )
+    year = F.col("batch_id")
+    drifted = source.filter((year != 1999) & ~((year == 1997) & (F.col("o_orderkey") % 7 == 0)))
+    drifted = drifted.withColumn("total", F.when(year.isin(*SYNC_BATCHES) & (F.col("o_orderkey") % 3 == 0), 0.0).otherwise(F.col("total")))
+    extra = source.filter(year == 1998).withColumn("batch_id", F.lit(1900))
+    target = Store(t.spark, work_path(t.spark, "target"), source.schema, "batch_id").replace(drifted.unionByName(extra))
+    copied = RP.sync_changed(source, target)
+    RP.sync_changed(source, target)
+    return target.current().join(copied, "batch_id", "full")
+
+
+@query
+def sync_keys(t: Tables) -> DataFrame:
+    """Copy of the orders that differ: some have another price, some are missing, some are too many."""
+    source = t.raw("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("total"))
+    key = F.col("o_orderkey")
+    drifted = source.filter(key % 101 != 0).withColumn("total", F.when(key % 103 == 0, -1.0).otherwise(F.col("total")))
+    extra = source.filter((key % 107 == 0) & (key > 0)).withColumn("o_orderkey", -key)
+    target = KeyedStore(t.spark, work_path(t.spark, "target"), source.schema, "o_orderkey").replace(drifted.unionByName(extra))
+    copied = RP.sync_keys(source, target)
+    return target.current().join(copied, "o_orderkey", "full")
+
+
 @query
 def sync_catalog_plan(t: Tables) -> DataFrame:
     """Copy plan of the given tables with their row counts; lineitem has the integer batch column."""
@@ -581,32 +608,6 @@ def carry_over_store_c(t: Tables) -> DataFrame:
 
 # --- document detail ---------------------------------------------------------------------------------
 
-ENRICHED = [
-    "doc", "skc", "template", "batch", "suit", "spu", "out_region", "in_region", "model_qty", "human_qty",
-    *[f"national_skc_{w}" for w in S.WINDOWS],
-    *[f"national_suit_{w}" for w in S.WINDOWS],
-    *[f"{s}_{g}_{w}" for g in ("region_skc", "region_suit", "org_suit", "org_all", "org_spu") for s in ("out", "in") for w in S.WINDOWS],
-]
-
-_ROLES = ("human_out", "human_in", "model_out", "model_in")
-DETAIL = [
-    "doc", "day", "template", "batch", "source", "scene", "skc", "out_org", "in_org", "model_out_org", "model_in_org",
-    "suit", "spu", "color", "class_level_code", "class_label", "plan", "plan_kind", "model_qty", "human_qty",
-    "out_first_day", "in_first_day", "out_level_code", "in_level_code", "out_level_name", "in_level_name",
-    *[f"{s}_{c}" for s in ("out", "in") for c in ST.FIGURES],
-    *[f"{s}_{c}" for s in ("model_out", "model_in") for c in
-      ("after_model_stock", "after_model_onroad_stock", "after_sub_stock", "after_model_include_stock")],
-    *[f"{r}_{c}" for r in _ROLES for c in ("org_code", "org_name", "manager_code", "manager_name", "store_manager", "up_code")],
-    "human_out_org_flag", "human_in_org_flag", "label_value", "out_band", "in_band",
-    *[f"{s}_{c}" for s in ("model_out", "model_in") for c in ("batch_before", "batch_after")],
-    *[f"{s}_{c}" for s in ("out", "in") for c in R.run_columns(DETAIL_BASES)],
-    *[f"{s}_net_after_{b}" for s in ("out", "in") for b in DETAIL_BASES],
-    "out_send_score", "out_receive_score", "in_send_score", "in_receive_score",
-    "out_target_bundle", "in_target_bundle", "out_target", "in_target", "out_fill", "in_fill",
-]
-DETAIL_DOUBLES = ["out_send_score", "out_receive_score", "in_send_score", "in_receive_score", "out_fill", "in_fill"]
-
-
 @query
 def doc_enrich(t: Tables) -> DataFrame:
     return Detail(t).enriched().select(*ENRICHED)
@@ -615,7 +616,7 @@ def doc_enrich(t: Tables) -> DataFrame:
 @query
 def doc_detail(t: Tables) -> DataFrame:
     detail = Detail(t).result().select(*ENRICHED, *[c for c in DETAIL if c not in ENRICHED])
-    return _as_double(_day_text(detail, "day", "out_first_day", "in_first_day"), *DETAIL_DOUBLES)
+    return _as_double(_day_text(detail, "day", "out_first_day", "in_first_day"), *SCORES)
 
 
 # --- stored results ----------------------------------------------------------------------------------
@@ -674,19 +675,18 @@ def publish_incremental(t: Tables) -> DataFrame:
 @query
 def run_day(t: Tables) -> DataFrame:
     """A run from end to end, twice: the stored results afterwards, and how many lines still count as changed."""
-    docs = D.headers(t.moves).select(F.concat_ws("#", "doc", F.lit("1")).alias("id"), "doc", "batch", "skc", "out_org", "in_org")
-    schema = T_.StructType.fromDDL(daily.RESULT)
-    old = docs.select(*[F.col(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-    results = Store(t.spark, work_path(t.spark, "results"), schema, "batch").replace(old)
-    line_schema = T_.StructType.fromDDL(daily.LINES)
-    lines = Store(t.spark, work_path(t.spark, "lines"), line_schema, "batch").replace(t.moves.select(*line_schema.names))
-    assert daily.run(t, results, lines)
-    assert not daily.run(t, results, lines)
+    stored = t.moves.select(*daily.LINES.names)
+    lines = KeyedStore(t.spark, work_path(t.spark, "lines"), daily.LINES, "doc", order=["run_day"]).replace(stored)
+    docs = D.headers(stored).withColumn("id", F.concat_ws("#", "doc", F.lit("1")))
+    known = ("id", "doc", "batch", "skc", "out_org", "in_org")
+    old = docs.select(*[F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name) for f in daily.RESULT])
+    results = KeyedStore(t.spark, work_path(t.spark, "results"), daily.RESULT, "doc", order=["batch"]).replace(old)
+    daily.run(t, results, lines)
+    daily.run(t, results, lines)
     left = lines.current().filter(C.is_changed("status")).groupBy("doc").agg(F.count("*").alias("changed_lines"))
-    return results.current().join(left, "doc", "left").select(
-        "id", "doc", "batch", "skc", "out_org", "in_org", "model_qty", "human_qty",
-        F.get_json_object("detail", "$.template").alias("template"), F.coalesce("changed_lines", F.lit(0)).alias("changed_lines"),
-    )
+    shown = results.current().drop("run_day", "created_at", "updated_at").join(left, "doc", "left")
+    shown = _as_double(_day_text(shown, "day", "out_first_day", "in_first_day"), *SCORES)
+    return shown.withColumn("changed_lines", F.coalesce("changed_lines", F.lit(0)))
 
 
 # --- change data capture -----------------------------------------------------------------------------
