@@ -19,6 +19,7 @@ from restock.session import stage
 SYMBOLS = 96  # of 16 bits each
 DISTANCE = 35  # symbols in which a pair may differ; at a similarity of 0.8 the mean is 19.2, the deviation 3.9
 ERRORS = 1  # symbols in which a chunk may differ
+CHUNK_BIT = 57  # of a key, from which on it has its chunk
 PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
 LEAD = ["l0", "l1", "l2"]
@@ -98,15 +99,17 @@ def chunks(distance: int = DISTANCE, errors: int = ERRORS) -> list[list[int]]:
 
 
 def keys(signatures: np.ndarray, distance: int = DISTANCE, errors: int = ERRORS) -> np.ndarray:
-    """Keys of signatures, one row each: every chunk with every choice of ``errors`` symbols left out."""
+    """Keys of signatures, one row each: every chunk with every choice of ``errors`` symbols left out.  The chunk is in the
+    highest seven bits."""
     places = np.arange(SYMBOLS, dtype=np.uint64) << np.uint64(16)
     terms = _mixed(signatures.astype(np.uint64) + places[None] + np.uint64(1))
     out = []
-    for chunk in chunks(distance, errors):
+    for number, chunk in enumerate(chunks(distance, errors)):
         whole = terms[:, chunk].sum(1, dtype=np.uint64)
         for gone in combinations(chunk, min(errors, len(chunk))):
             left = whole - terms[:, list(gone)].sum(1, dtype=np.uint64)
-            out.append(_mixed(left + np.uint64(sum(1 << (p % 48) for p in gone) + (chunk[0] << 50))))
+            mixed = _mixed(left + np.uint64(sum(1 << (p % 48) for p in gone) + (chunk[0] << 50)))
+            out.append((mixed >> np.uint64(7)) | np.uint64(number << CHUNK_BIT))
     return np.stack(out, 1).view(np.int64)
 
 
@@ -314,8 +317,9 @@ class Links:
         asked = stage(self.buckets.join(crowds, "key", "left_semi").select("class").distinct(), "near-crowded")
         texts = self._texts(asked.select("class")).join(asked.select(F.col("class").alias("at")), "at", "left_semi")
         each = texts.select(F.col("at").alias("class"), F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
-        times = F.count("*").over(Window.partitionBy("shingle"))  # no more rows of a shingle than classes
-        found = stage(each.withColumn("times", times).filter(F.col("times") <= RARE), "near-rare")
+        each = stage(each, "near-crowd-shingles")
+        times = stage(each.groupBy("shingle").agg(F.count("*").alias("times")).filter(F.col("times") <= RARE), "near-times")
+        found = stage(each.join(times, "shingle"), "near-rare")
         self.rare = found.filter("times > 1").select("class", "shingle")
         own = found.groupBy("class").agg(F.count("*").alias("own"), F.sum((F.col("times") > 1).cast("long")).alias("few"))
         counted = asked.join(self.signed.select("class", "n"), "class").join(own, "class", "left")
@@ -346,13 +350,17 @@ class Links:
         members = stage(self._mixed_buckets().select("key", "class", "root", "top", *CARRIED, *COUNTED), "near-mixed")
 
         def others(rows: DataFrame, *more: str) -> DataFrame:
-            renamed = {"class": "other", "root": "other_root", **CARRIED, **COUNTED}
+            renamed = {"class": "other", "root": "other_root", "earlier": "other_earlier", **CARRIED, **COUNTED}
             return rows.select(*more, *[F.col(x).alias(y) for x, y in renamed.items() if x in rows.columns])
 
         near = _near(SKETCH, LEAD, self.distance) & (F.col("root") != F.col("other_root"))
-        # Of two minor members the pair is made once, by the greater one.
+        # Of two minor members the pair is made by the greater one; of all chunks that it shares, in the first.
         once = _once("gone", "lead_gone") & ((F.col("root") == F.col("top")) | (F.col("class") < F.col("other")))
-        within = members.join(others(members.filter("root <> top"), "key"), "key").filter(self._possible() & once & near)
+        keys = members.groupBy("class").agg(F.collect_set("key").alias("keys"))  # no more than a signature has
+        earlier = F.filter("keys", lambda k: F.shiftrightunsigned(k, CHUNK_BIT) < F.shiftrightunsigned("key", CHUNK_BIT))
+        keyed = stage(members.join(keys, "class").select(*members.columns, earlier.alias("earlier")), "near-mixed-keys")
+        met = keyed.join(others(keyed.filter("root <> top"), "key"), "key")
+        within = met.filter(self._possible() & once & near & ~F.arrays_overlap("earlier", "other_earlier"))
         # Pairs that only the rare shingles they share may make similar enough.
         known = members.filter("common is not null").select("class", "root", *SKETCH, *COUNTED).distinct()
         rare = stage(self.rare.join(known, "class"), "near-rare-members")
