@@ -746,6 +746,17 @@ def queries() -> dict[str, str]:
     q["run_day"] = f"""select h.doc || case when a.doc is not null then '#new' else '#1' end as id, {cat(f"h.{c}" for c in kept)},
       a.* exclude ({cat(kept)}), cast(0 as bigint) as changed_lines
       from headers h left join ({q["doc_detail"]}) a on h.doc = a.doc"""
+    parts = {
+        "qty": "true", "qty_r": "l_returnflag = 'R'", "qty_n": "l_returnflag = 'N'", "qty_not_n": "l_returnflag <> 'N'",
+        "qty_a": "l_returnflag = 'A'", "kept": "l_returnflag <> 'R'", "qt": "ship_day < date '1998-07-01'",
+        "q7": "ship_day < date '1998-07-01' and ship_day >= date '1998-06-24'",
+        "q14": "ship_day < date '1998-06-24' and ship_day >= date '1998-06-17'",
+    }
+    weights = {"discounted": "l_discount", "taxed": "l_tax"}
+    q["cells_maintained"] = f"""select org, sku, skc, size, cast(year(ship_day) as integer) as year, l_linestatus,
+      {cat(f"cast(sum(case when {c} then qty else 0 end) as bigint) as {n}" for n, c in parts.items())},
+      {cat(f"cast(sum(cast({c} as decimal(4,2)) * cast(qty as decimal(9,0))) as double) as {n}" for n, c in weights.items())},
+      cast(min(ship_day) as varchar) as first_day, max(l_returnflag) as last_flag from ledger group by 1, 2, 3, 4, 5, 6"""
     q["cdc_parse"] = """select seq as "offset", key, op, 5 as n_fields, value from evt"""
     q["cdc_normalise"] = """select seq as "offset", key, op,
       'event_type=' || event_type || ';id=' || key || ';k=' || k || ';value=' || value as data from evt"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from restock.functions import columns as C
 from restock.functions.columns import LABEL_CODE, LABEL_SOURCE
+from restock.operators.deltas import Aggregates
 from restock.session import stage
 
 # Fixed values of the derived data set.
@@ -300,6 +301,7 @@ class Tables:
             self.lineitem.join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
+                F.col("l_orderkey").alias("order"),
                 _text("s_nationkey").alias("org"),
                 F.concat_ws("|", "p_brand", "p_type").alias("sku"),
                 F.col("p_brand").alias("skc"),
@@ -314,32 +316,45 @@ class Tables:
         )
 
     @cached_property
-    def cells(self) -> DataFrame:
-        """The ledger summed per (org, sku, year, open or closed): all that stock, sales, targets, scores and bands need of it."""
+    def ledger_rows(self) -> DataFrame:
+        return self._ledger.withColumn("year", F.year("ship_day"))
+
+    @property
+    def cell_shape(self) -> Aggregates:
+        """What all that stock, sales, targets, scores and bands need of the ledger, per (org, sku, year, open or closed)."""
         day, flag, qty = F.col("ship_day"), F.col("l_returnflag"), F.col("qty")
         as_of = F.lit(AS_OF).cast("date")
 
         def part(condition: Column) -> Column:
-            return F.sum(F.when(condition, qty).otherwise(0))
+            return F.when(condition, qty).otherwise(0)
 
         def weighted(c: str) -> Column:
-            return F.sum(F.col(c).cast("decimal(4,2)") * qty.cast("decimal(9,0)")).cast("decimal(20,2)")
-
-        return self._ledger.groupBy("org", "sku", "skc", "size", F.year(day).alias("year"), "l_linestatus").agg(
-            part(F.lit(True)).alias("qty"),
-            part(flag == "R").alias("qty_r"),
-            part(flag == "N").alias("qty_n"),
-            part(flag != "N").alias("qty_not_n"),
-            part(flag == "A").alias("qty_a"),
-            F.sum(F.when(flag == "R", F.lit(0).cast("bigint")).otherwise(qty)).alias("kept"),
-            part((day < as_of) & (day >= F.date_sub(as_of, 7))).alias("q7"),
-            part((day < F.date_sub(as_of, 7)) & (day >= F.date_sub(as_of, 14))).alias("q14"),
-            part(day < as_of).alias("qt"),
-            F.min(day).alias("first_day"),
-            F.max(flag).alias("last_flag"),
-            weighted("l_discount").alias("discounted"),
-            weighted("l_tax").alias("taxed"),
-        )
+            return F.col(c).cast("decimal(4,2)") * qty.cast("decimal(9,0)")
+
+        sums = {
+            "qty": part(F.lit(True)),
+            "qty_r": part(flag == "R"),
+            "qty_n": part(flag == "N"),
+            "qty_not_n": part(flag != "N"),
+            "qty_a": part(flag == "A"),
+            "kept": F.when(flag == "R", F.lit(0).cast("bigint")).otherwise(qty),
+            "q7": part((day < as_of) & (day >= F.date_sub(as_of, 7))),
+            "q14": part((day < F.date_sub(as_of, 7)) & (day >= F.date_sub(as_of, 14))),
+            "qt": part(day < as_of),
+            "discounted": weighted("l_discount"),
+            "taxed": weighted("l_tax"),
+        }
+        return Aggregates(("org", "sku", "skc", "size", "year", "l_linestatus"), sums, {"first_day": day}, {"last_flag": flag})
+
+    def cells_of(self, groups: DataFrame) -> DataFrame:
+        """The cells from the aggregates, computed now or kept up to date in a store."""
+        weights = {c: F.col(c).cast("decimal(20,2)") for c in ("discounted", "taxed")}
+        return groups.select(*[weights.get(n, F.col(n)).alias(n) for n in self.cell_shape.names])
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        """The ledger summed per (org, sku, year, open or closed).  May be set to cells that were kept up to date."""
+        return self.cells_of(self.cell_shape.full(self.ledger_rows))
 
     def settle(self) -> None:
         """Write the cells, so that all views of them share one pass over the ledger."""

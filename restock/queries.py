@@ -14,6 +14,7 @@ from restock.bridge import Tables
 from restock.functions import bundles as BU
 from restock.functions import columns as C
 from restock.operators import changes as CH
+from restock.operators import deltas
 from restock.operators import documents as D
 from restock.operators import keysets as K
 from restock.operators import lookups as L
@@ -24,7 +25,7 @@ from restock.operators import stock as ST
 from restock.operators import tags as T
 from restock.operators import upserts as U
 from restock.plans import daily, kpi, publish
-from restock.plans.detail import DETAIL, ENRICHED, SCORES, Detail
+from restock.plans.detail import DETAIL, ENRICHED, SCORES, Detail, earlier_bundles
 from restock.session import configure, stage, work_path
 from restock.sources import external as EX
 from restock.sources import replicate as RP
@@ -601,9 +602,32 @@ def net_stock_after(t: Tables) -> DataFrame:
 
 @query
 def carry_over_store_c(t: Tables) -> DataFrame:
-    """Stock after all runs of the affected documents; pairs that did not change themselves keep the stored bundle."""
-    d = Detail(t)
-    return d.net_stock
+    """Stock after all runs of the affected documents; pairs that did not change themselves keep what the last run before stored."""
+    true = earlier_bundles(t.earlier)
+    runs = {1: ("after_qty", "before_qty"), 2: ("before_qty", "after_qty"), 4: ("after_qty", "after_qty")}
+    history = None
+    for number, (before, after) in runs.items():
+        rows = true.select("org", "skc", *R.RUN, F.col(before).alias("before_qty"), F.col(after).alias("after_qty"), F.lit(number).cast("bigint").alias("run"))
+        history = rows if history is None else history.unionByName(rows)
+    return Detail(t, history=stage(history, "history"), number=4).net_stock
+
+
+@query
+def cells_maintained(t: Tables) -> DataFrame:
+    """The ledger's cells after orders have come, gone and changed, brought up to date by these orders alone."""
+    rows, order = stage(t.ledger_rows, "ledger-rows"), F.col("order")
+    changed = F.col("order") % 7 == 0
+    was = rows.filter(order % 5 != 0).withColumn("qty", F.when(changed, F.col("qty") + 3).otherwise(F.col("qty")))
+    was = was.withColumn("ship_day", F.when(changed, F.date_sub("ship_day", 4)).otherwise(F.col("ship_day"))).withColumn("year", F.year("ship_day"))
+    was = was.withColumn("l_returnflag", F.when(changed, "R").otherwise(F.col("l_returnflag")))
+    extra = rows.filter(order % 11 == 1).withColumn("order", -order)
+    ledger = KeyedStore(t.spark, work_path(t.spark, "ledger"), rows.schema, "order").replace(was.unionByName(extra))
+    cells = KeyedStore(t.spark, work_path(t.spark, "cells"), deltas.schema(t.cell_shape, rows), deltas.CELL)
+    deltas.start(cells, t.cell_shape, ledger.current())
+    seen = ledger.head()
+    ledger.upsert(rows.filter((order % 5 == 0) | changed), extra.select("order"), seen)
+    deltas.refresh(cells, t.cell_shape, *ledger.changes(seen), ledger.current())
+    return _as_double(_day_text(t.cells_of(cells.current()), "first_day"), "discounted", "taxed")
 
 
 # --- document detail ---------------------------------------------------------------------------------
@@ -794,7 +818,7 @@ def cdc_apply(t: Tables) -> DataFrame:
 
 def _in_offset_order(messages: DataFrame, parts: int) -> list[DataFrame]:
     """Messages cut into parts by offset, as a queue would deliver them."""
-    last = messages.agg(F.max("offset")).first()[0]
+    last = messages.agg(F.max("offset")).first()[0] or 0
     part = F.floor(F.col("offset") * parts / (last + 1))
     return [messages.filter(part == i) for i in range(parts)]
 

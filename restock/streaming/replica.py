@@ -1,8 +1,9 @@
 """A replica table kept up to date by a change stream.
 
 Each micro-batch appends its parsed events to a log, in a folder named by the batch, so its cost follows the
-number of events and not the size of the table.  A batch that is run again replaces its own folder.  Reading
-folds the log into the last base; ``compact`` writes that as the next base.  A base counts only once its name is
+number of events and not the size of the table.  A batch that is run again replaces its own folder.  The offsets that
+batches have taken are noted; messages at offsets that another batch has taken are left out, so that a stream that is started anew
+from its beginning logs nothing twice.  Reading folds the log into the last base; ``compact`` writes that as the next base.  A base counts only once its name is
 in the pointer, which is written last.
 """
 
@@ -31,6 +32,9 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+TAKEN_SCHEMA = "partition int, block bigint, low bigint, high bigint, batch bigint"
+BLOCK = 4096  # offsets
+
 REJECT_SCHEMA = "partition int, offset bigint, reason string, text string, batch bigint"
 
 
@@ -57,12 +61,36 @@ class Replica:
         self._write_base(stored.select(*self.schema.names), -1)
 
     def append(self, envelopes: DataFrame, batch: int) -> None:
-        """Add one micro-batch of change envelopes to the log; what cannot be applied goes to the rejects."""
-        events = stage(CH.checked(envelopes, self.table, self.schema, self.key), "messages")
+        """Add one micro-batch of change envelopes to the log; what cannot be applied goes to the rejects.
+
+        The offsets are noted last: a batch that broke off before is run again under its number and replaces what it wrote.
+        """
+        events = stage(CH.checked(self._untaken(envelopes, batch), self.table, self.schema, self.key), "messages")
         CH.rejected(events).write.mode("overwrite").parquet(f"{self._rejects}/batch={batch}")
         CH.accepted(events).select("seq", "key", "op", "data", "changed").write.mode("overwrite").parquet(
             f"{self._log}/batch={batch}"
         )
+        self._note(envelopes, batch)
+
+    def _note(self, envelopes: DataFrame, batch: int) -> None:
+        """Note the offsets of a batch as ranges, each within a block of offsets."""
+        block = F.floor(F.col("offset") / BLOCK).alias("block")
+        held = envelopes.groupBy("partition", block).agg(F.sort_array(F.collect_set("offset")).alias("o"))  # no more than BLOCK
+        low, high = F.col("o")[0], F.element_at("o", -1)
+        whole = F.array(F.struct(low.alias("low"), high.alias("high")))
+        each = F.transform("o", lambda x: F.struct(x.alias("low"), x.alias("high")))
+        ranges = held.select("partition", "block", F.inline(F.when(F.size("o") == high - low + 1, whole).otherwise(each)))
+        ranges.write.mode("overwrite").parquet(f"{self.root}/taken/batch={batch}")
+
+    def _untaken(self, envelopes: DataFrame, batch: int) -> DataFrame:
+        """The envelopes at offsets that no other batch has taken."""
+        try:
+            taken = self.spark.read.schema(TAKEN_SCHEMA).parquet(f"{self.root}/taken").filter(F.col("batch") != batch)
+        except AnalysisException:  # no batch yet
+            return envelopes
+        ranges = taken.select(F.col("partition").alias("_partition"), F.col("block").alias("_block"), "low", "high")
+        same = (F.col("partition") == F.col("_partition")) & (F.floor(F.col("offset") / BLOCK) == F.col("_block"))
+        return envelopes.join(ranges, same & F.col("offset").between(F.col("low"), F.col("high")), "left_anti")
 
     def run(self, envelopes: DataFrame, checkpoint: str) -> StreamingQuery:
         """Consume a stream of (partition, offset, value) rows until it has no more; progress is kept in ``checkpoint``.

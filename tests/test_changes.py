@@ -174,3 +174,37 @@ def test_a_new_checkpoint_logs_after_the_old_one(spark, tmp_path):
         replica.run(stream, str(tmp_path / f"c{i}")).awaitTermination()
     assert {"51", "52"} <= set(as_dict(replica.current()))
     assert replica.rejects().count() == 0
+
+
+def test_a_stream_started_anew_logs_nothing_twice(spark, tmp_path):
+    """Three partitions, gaps in the offsets, messages that are rejected, and a second checkpoint that reads from the beginning."""
+    events = random_events(random.Random(9), 90, 20)
+    texts = [json.dumps(e) for e in events] + ['{"table":"t","type":"UPDATE","shardingKey":"1","data":{"b":"no number"}}', "broken"]
+    rows = [(i % 3, 10 * i if i % 3 == 2 else i, t) for i, t in enumerate(texts)]
+    messages = spark.createDataFrame(rows, "partition int, offset bigint, value string")
+    queue = str(tmp_path / "queue")
+    replica = Replica(spark, str(tmp_path / "r"), "t", "id", stored_rows(spark, START).schema)
+    replica.create(stored_rows(spark, START))
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(queue)
+        replica.run(stream, str(tmp_path / checkpoint)).awaitTermination()
+        log = spark.read.parquet(f"{replica.root}/log")
+        return log.count(), replica.rejects().count(), sorted(map(str, replica.current().collect()))
+
+    messages.filter("offset < 40").coalesce(1).write.parquet(queue)
+    first = run("one")
+    messages.filter("offset >= 40").repartition(2).write.mode("append").parquet(queue)
+    both = run("one")
+    assert first[0] + first[1] == messages.filter("offset < 40").count() and both[0] + both[1] == len(rows) and both[1] == 2
+    assert run("two") == both
+    messages.filter("offset < 3").withColumn("offset", messages["offset"] + 5_000).write.mode("append").parquet(queue)
+    assert run("two")[0] == both[0] + messages.filter("offset < 3").count()
+
+
+def test_no_messages(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), "t", "id", stored_rows(spark, START).schema)
+    replica.create(stored_rows(spark, START))
+    replica.append(envelopes(spark, []), 0)
+    replica.append(envelopes(spark, []), 1)
+    assert as_dict(replica.current()) == START
