@@ -73,7 +73,10 @@ def _hashes() -> _Words:
 
 def hashed(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    w = words(text)
+    return _hashed(words(text), width)
+
+
+def _hashed(w: list[bytes], width: int) -> np.ndarray:
     if not w:
         return np.zeros(0, np.uint64)
     own = np.fromiter(map(_hashes().__getitem__, w), np.uint64, len(w))
@@ -210,30 +213,43 @@ def _linked(a: Column, b: Column, width: int, percent: int) -> Column:
     return linked(a, b)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either the least of its component or has one edge (u, v), to that."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("low")).union(edges.select("v", F.lit(0)))
+    counted = ends.groupBy("node").agg(F.sum("low").alias("low"), F.count("*").alias("all"))
+    return not counted.agg(F.max((F.col("low") > 1) | ((F.col("low") == 1) & (F.col("all") > 1)))).first()[0]
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the links (a, b): root is the least node of the component.
 
-    Large-star and small-star steps in turn: each node's neighbours are joined to the least of them, until nothing
-    changes.  Only least neighbours are aggregated; no component is gathered.
+    Large-star and small-star steps in turn: each node's neighbours are joined to the least of them, until only stars
+    are left.  Only least neighbours are aggregated; no component is gathered.
     """
-    edges, before = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "near-edges"), None
-    while True:
+    edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "near-edges")
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "near-least")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "near-large")
-        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "near-least")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "near-edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
 
 
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) after more links: only the links between components are looked at."""
+    one, two = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r_{c}")) for c in "ab")
+    between = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("r_a", "a").alias("a"), F.coalesce("r_b", "b").alias("b"))
+    moved = stage(connected(between), "near-moved")
+    then = moved.select(F.col("node").alias("root"), F.col("root").alias("then"))
+    known = roots.join(then, "root", "left").select("node", F.coalesce("then", "root").alias("root"))
+    return stage(known.union(moved).distinct(), "near-roots")
+
+
 def _shingle_hashes(text: Column, width: int) -> Column:
     @F.pandas_udf("array<long>")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -255,7 +271,7 @@ def _pairs(a: str, b: str) -> list[Column]:
 class Links:
     """Links between the rows of a written table (at, id, text); ``at`` is unique.
 
-    Rows with one set of shingles are one class, and only classes are compared.  Two classes are candidates if
+    Rows with the same words in the same order are one class, and only classes are compared.  Two classes are candidates if
     their signatures differ in ``distance`` symbols at most: by the pigeonhole, they then share a key of ``keys``.  Each key
     is a bucket, whose rows carry two bits of each symbol, so that most pairs that are too far apart never leave the join,
     and what the key leaves out, so that a pair comes out of a chunk once.
@@ -292,7 +308,7 @@ class Links:
         members = members.join(own, "class").join(lead, "lead").filter((F.col("size") > 2) | near)
         members = stage(members.withColumn("near", near), "near-members")
 
-        self.links, self.tested = None, None
+        self.links, self.tested, self._roots = None, None, None
         self._test(members.filter("near").select(*_pairs("class", "lead")))
         members = members.filter("size > 2")
         leaders = members.select("key", F.col("lead").alias("class"), *[F.col(y).alias(x) for x, y in CARRIED.items()]).distinct()
@@ -318,7 +334,7 @@ class Links:
         texts = self._texts(asked.select("class")).join(asked.select(F.col("class").alias("at")), "at", "left_semi")
         each = texts.select(F.col("at").alias("class"), F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
         each = stage(each, "near-crowd-shingles")
-        times = stage(each.groupBy("shingle").agg(F.count("*").alias("times")).filter(F.col("times") <= RARE), "near-times")
+        times = each.groupBy("shingle").agg(F.count("*").alias("times")).filter(F.col("times") <= RARE)
         found = stage(each.join(times, "shingle"), "near-rare")
         self.rare = found.filter("times > 1").select("class", "shingle")
         own = found.groupBy("class").agg(F.count("*").alias("own"), F.sum((F.col("times") > 1).cast("long")).alias("few"))
@@ -387,7 +403,7 @@ class Links:
         found = near.join(one, "a").join(two, "b").filter(_linked(F.col("t_a"), F.col("t_b"), self.width, self.percent))
         found = stage(found.select("a", "b"), "near-links")
         self.links = found if self.links is None else self.links.unionByName(found)
-        self._roots = connected(self.links)
+        self._roots = connected(found) if self._roots is None else joined(self._roots, found)
 
     def _texts(self, asked: DataFrame) -> DataFrame:
         """(at, text) of the rows asked for and of some others.
