@@ -19,6 +19,7 @@ from restock.session import stage
 SYMBOLS = 96  # of 16 bits each
 DISTANCE = 35  # symbols in which a pair may differ; at a similarity of 0.8 the mean is 19.2, the deviation 3.9
 ERRORS = 1  # symbols in which a chunk may differ
+HEAD, HEADS = "head", 3  # first chunks of which a pair is made in one only
 CHUNK_BIT = 57  # of a key, from which on it has its chunk
 PERCENT = 80
 SKETCH = ["s0", "s1", "s2"]
@@ -190,6 +191,32 @@ def _keys(signatures: Column, distance: int, errors: int) -> Column:
     return make(signatures)
 
 
+def _pieces(distance: int, errors: int) -> list[list[tuple[int, int]]]:
+    """(first byte, bytes) of the first chunks' symbols in a signature, in pieces of 64 bits at most."""
+    return [[(2 * at, 2 * min(4, c[-1] + 1 - at)) for at in range(c[0], c[-1] + 1, 4)] for c in chunks(distance, errors)[:HEADS]]
+
+
+def _heads(signature: Column, distance: int, errors: int) -> list[Column]:
+    """The symbols of the first chunks as integers, four in each."""
+    pieces = [p for chunk in _pieces(distance, errors) for p in chunk]
+    return [F.conv(F.hex(F.substring(signature, at + 1, n)), 16, -10).cast("bigint").alias(f"{HEAD}{i}") for i, (at, n) in enumerate(pieces)]
+
+
+def _not_before(distance: int, errors: int) -> Column:
+    """Whether two rows of a key share none of the first chunks before that of the key."""
+    number, out = 0, F.lit(True)
+    for j, chunk in enumerate(_pieces(distance, errors)):
+        differ = F.lit(0)
+        for _, n in chunk:
+            x = F.col(f"{HEAD}{number}").bitwiseXOR(F.col(f"other_{HEAD}{number}"))
+            for lane in range(n // 2):
+                mask = np.uint64(0xFFFF << 16 * lane).astype(np.int64)
+                differ = differ + (x.bitwiseAND(F.lit(int(mask))) != 0).cast("int")
+            number += 1
+        out = out & ((F.shiftrightunsigned("key", CHUNK_BIT) <= j) | (differ > errors))
+    return out
+
+
 def _differ(a: Column, b: Column) -> Column:
     @F.pandas_udf("int")
     def differ(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -284,7 +311,7 @@ class Links:
     """
 
     def __init__(self, rows: DataFrame, width: int = 5, percent: int = PERCENT, distance: int = DISTANCE, errors: int = ERRORS):
-        self.rows, self.width, self.percent, self.distance = rows, width, percent, distance
+        self.rows, self.width, self.percent, self.distance, self.errors = rows, width, percent, distance, errors
         described = rows.select("at", "id", _describe(F.col("text"), width).alias("s")).select("at", "id", "s.*")
         self.sets = stage(described, "near-sets")
         some = self.sets.filter("n > 0")
@@ -366,17 +393,17 @@ class Links:
         members = stage(self._mixed_buckets().select("key", "class", "root", "top", *CARRIED, *COUNTED), "near-mixed")
 
         def others(rows: DataFrame, *more: str) -> DataFrame:
-            renamed = {"class": "other", "root": "other_root", "earlier": "other_earlier", **CARRIED, **COUNTED}
+            heads = {c: f"other_{c}" for c in rows.columns if c.startswith(HEAD)}
+            renamed = {"class": "other", "root": "other_root", **heads, **CARRIED, **COUNTED}
             return rows.select(*more, *[F.col(x).alias(y) for x, y in renamed.items() if x in rows.columns])
 
         near = _near(SKETCH, LEAD, self.distance) & (F.col("root") != F.col("other_root"))
-        # Of two minor members the pair is made by the greater one; of all chunks that it shares, in the first.
+        # Of two minor members the pair is made by the greater one, and not again if a first chunk has made it.
         once = _once("gone", "lead_gone") & ((F.col("root") == F.col("top")) | (F.col("class") < F.col("other")))
-        keys = members.groupBy("class").agg(F.collect_set("key").alias("keys"))  # no more than a signature has
-        earlier = F.filter("keys", lambda k: F.shiftrightunsigned(k, CHUNK_BIT) < F.shiftrightunsigned("key", CHUNK_BIT))
-        keyed = stage(members.join(keys, "class").select(*members.columns, earlier.alias("earlier")), "near-mixed-keys")
-        met = keyed.join(others(keyed.filter("root <> top"), "key"), "key")
-        within = met.filter(self._possible() & once & near & ~F.arrays_overlap("earlier", "other_earlier"))
+        heads = self.signed.select("class", *_heads(F.col("signature"), self.distance, self.errors))
+        headed = stage(members.join(heads, "class"), "near-mixed-heads")
+        met = headed.join(others(headed.filter("root <> top"), "key"), "key")
+        within = met.filter(self._possible() & once & near & _not_before(self.distance, self.errors))
         # Pairs that only the rare shingles they share may make similar enough.
         known = members.filter("common is not null").select("class", "root", *SKETCH, *COUNTED).distinct()
         rare = stage(self.rare.join(known, "class"), "near-rare-members")
