@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 from typing import TypeVar
 
@@ -26,7 +28,7 @@ DEFAULTS = {
 }
 
 _local_folders: dict[str, str] = {}
-_made: list[str] = []
+_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -80,13 +82,20 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     path = f"{shared_folder(spark)}/restock/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    if (own := _collected.get()) is not None:
+        own.append(path)
     return path
 
 
-def work_paths() -> list[str]:
-    """Paths handed out so far by this process and not discarded."""
-    return list(_made)
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The work paths that are handed out in the block by this thread, for ``discard``."""
+    paths: list[str] = []
+    token = _collected.set(paths)
+    try:
+        yield paths
+    finally:
+        _collected.reset(token)
 
 
 def discard(spark: SparkSession, paths: Iterable[str]) -> None:
@@ -95,7 +104,6 @@ def discard(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         place = files(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        _made.remove(path)
 
 
 def together(spark: SparkSession, *builders: Callable[[], T]) -> list[T]:
