@@ -603,7 +603,7 @@ def net_stock_after(t: Tables) -> DataFrame:
 @query
 def carry_over_store_c(t: Tables) -> DataFrame:
     """Stock after all runs of the affected documents; pairs that did not change themselves keep what the last run before stored."""
-    true = earlier_bundles(t.earlier)
+    true = stage(earlier_bundles(t.earlier), "true-figures")
     runs = {1: ("after_qty", "before_qty"), 2: ("before_qty", "after_qty"), 4: ("after_qty", "after_qty")}
     history = None
     for number, (before, after) in runs.items():
