@@ -28,6 +28,7 @@ CARRIED = {**dict(zip(SKETCH, LEAD, strict=True)), "gone": "lead_gone"}
 COUNTED = {"n": "lead_n", "common": "lead_common", "few": "lead_few"}
 CROWD = 64  # members of a bucket from which on it pays to count shingles
 RARE = 128  # classes of the crowds that a rare shingle is found in, at most
+SIGNED = 8192  # classes whose keys a task makes
 KEPT = 50_000
 STEP = 4096
 SLOTS = 1 << 20
@@ -166,27 +167,23 @@ def left_out(signatures: np.ndarray, distance: int = DISTANCE, errors: int = ERR
     return np.stack(out, 1)
 
 
-def _left_out(signatures: Column, distance: int, errors: int) -> Column:
-    @F.pandas_udf("array<int>")
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for data in batches:
-            found = left_out(np.frombuffer(b"".join(data), "<u2").reshape(len(data), SYMBOLS), distance, errors)
-            yield pd.Series(list(found), dtype=object)
-
-    return make(signatures)
-
-
 def _once(a: str, b: str) -> Column:
     """Whether a shared key is the one of its chunk that counts."""
     return (F.col(a) == -1) | (F.col(a) != F.col(b))
 
 
 def _keys(signatures: Column, distance: int, errors: int) -> Column:
-    @F.pandas_udf("array<long>")
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """A struct of the arrays ``key`` and ``gone``, what each key leaves out.
+
+    Both come from one function: two would run side by side in two Python workers per task, which then stay.
+    """
+
+    @F.pandas_udf("key array<long>, gone array<int>")
+    def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for data in batches:
-            found = keys(np.frombuffer(b"".join(data), "<u2").reshape(len(data), SYMBOLS), distance, errors)
-            yield pd.Series(list(found), dtype=object)
+            own = np.frombuffer(b"".join(data), "<u2").reshape(len(data), SYMBOLS)
+            made = {"key": keys(own, distance, errors), "gone": left_out(own, distance, errors)}
+            yield pd.DataFrame({c: pd.Series(list(x), dtype=object) for c, x in made.items()})
 
     return make(signatures)
 
@@ -322,8 +319,7 @@ class Links:
         chosen = some.join(self.classes.select(F.col("class").alias("at")), "at", "left_semi")
         self.signed = stage(chosen.select(F.col("at").alias("class"), "n", "signature", *SKETCH), "near-signatures")
 
-        both = F.arrays_zip(_keys(F.col("signature"), distance, errors).alias("key"), _left_out(F.col("signature"), distance, errors).alias("gone"))
-        keyed = self.signed.select("class", F.inline(both)).repartition("key")
+        keyed = self._keyed()
         leads = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("lead"), F.min_by("gone", "class").alias("lead_gone"))
         # A bucket of two is done with its one pair; if that is too far apart, nothing is left of it.
         once = _once("gone", "lead_gone")
@@ -344,6 +340,18 @@ class Links:
         self._test(self._beside())
         self._test(self._across())
 
+    def _keyed(self) -> DataFrame:
+        """(class, key, gone) by key.
+
+        A task makes the keys of ``SIGNED`` classes or so.  Nulls, of which there are none, are ruled out before the shuffle, as
+        joins and aggregates do of their own accord: so all that is made of the keys reads one shuffle.
+        """
+        parts = -(-self.signed.count() // SIGNED)
+        some = self.signed.filter("class is not null").select("class", "signature").repartition(max(1, parts), "class")
+        made = some.select("class", _keys(F.col("signature"), self.distance, self.errors).alias("made"))
+        keyed = made.select("class", F.inline(F.arrays_zip("made.key", "made.gone")))
+        return keyed.filter("key is not null").repartition("key")
+
     def _held(self) -> DataFrame:
         return self.buckets.join(self._roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
 

@@ -1,10 +1,12 @@
 """Links and components are those of comparing all sets."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 import samples
+from pyspark.sql import functions as F
 
 from restock.llm import near
 
@@ -69,6 +71,34 @@ def test_distance_of_similar_sets():
     assert far == 0 and abs(total / 400 - 0.2 * near.SYMBOLS) < 1
 
 
+def nodes(df):
+    """Names of the plan's operators, with the rows that each has made."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        name, rows = p.nodeName(), p.metrics().get("numOutputRows")
+        found.append((name, rows.get().value() if rows.isDefined() else None))
+        inner = {"AdaptiveSparkPlan": "executedPlan", "ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan", "ResultQueryStage": "plan"}.get(name)
+        todo += [getattr(p, inner)()] if inner else [p.children().apply(i) for i in range(p.children().size())]
+    return found
+
+
+def test_keys_take_one_worker_a_task_and_one_shuffle(spark, monkeypatch):
+    """Two functions side by side hold two Python workers a task, and what is shuffled twice is made twice."""
+    monkeypatch.setattr(near, "SIGNED", 100)
+    rng = np.random.default_rng(3)
+    rows = [(i, near.signature(rng.integers(0, 2**63, 50, dtype=np.uint64))) for i in range(450)]
+    signed = near.stage(spark.createDataFrame(rows, "class long, signature binary"), "test-signed")
+    keyed = near.Links._keyed(SimpleNamespace(signed=signed, distance=near.DISTANCE, errors=near.ERRORS))
+    assert [n for n, _ in nodes(keyed)].count("ArrowEvalPython") == 1
+    own = np.frombuffer(b"".join(s for _, s in rows), "<u2").reshape(-1, near.SYMBOLS)
+    expected = {(i, k, g) for (i, _), ks, gs in zip(rows, near.keys(own).tolist(), near.left_out(own).tolist(), strict=True) for k, g in zip(ks, gs, strict=True)}
+    assert {(r["class"], r.key, r.gone) for r in keyed.collect()} == expected and keyed.count() == 450 * 96
+    both = keyed.join(keyed.groupBy("key").agg(F.min("class").alias("lead")), "key").filter("class <> lead")
+    assert [n for n, _ in nodes(both)].count("ReusedExchange") == 1
+
+
 def brute(rows, width, percent=80):
     sets = [near.shingles(t, width) for _, t in rows]
     root = list(range(len(rows)))
