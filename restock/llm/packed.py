@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import functools
 import re
 import struct
@@ -157,6 +158,21 @@ class Reader:
             at = stop
 
 
+def _byte_characters() -> str:
+    """The characters of byte-level tokenizers: a visible one of Latin-1 stands for itself, others for those from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return "".join(chr(b if b in seen else next(other)) for b in range(256))
+
+
+BYTES = _byte_characters()
+
+
+def bytewise(text: str) -> str:
+    """A character for each byte of the text in UTF-8."""
+    return codecs.charmap_decode(text.encode(), "strict", BYTES)[0]
+
+
 class Tokens:
     """The ids that the tokenizers library gives for whole texts, with pre-tokens looked up that were met before.
 
@@ -173,12 +189,12 @@ class Tokens:
     )
 
     def __init__(self, path: str, plain: bool = False):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.library, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
         self.single.encode_special_tokens = True  # what is cut off has none
-        self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # need not be cut again
+        self.single.pre_tokenizer = None  # it is one already, and given as the characters that stand for its bytes
         added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (plain and t.special)]
         self.odd = re.compile("|".join([self.ODD, *map(re.escape, added)]))
         self.young: dict[str, bytes] = {}
@@ -199,7 +215,7 @@ class Tokens:
                 new.append(w)
             else:
                 own[w] = ids
-        found = dict(zip(new, self._ids(self.single, new), strict=True))
+        found = dict(zip(new, self._ids(self.single, list(map(bytewise, new))), strict=True))
         if not found or len(max(found, key=len)) <= KEPT_CHARS:
             own.update(found)
             return own

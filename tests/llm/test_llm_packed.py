@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import samples
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from restock.llm import packed
 
@@ -62,6 +62,18 @@ def test_ids_are_the_library_s(monkeypatch):
     assert [np.frombuffer(f, "<u4").tolist() for f in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pre_tokens_are_given_by_their_bytes():
+    """The library need not cut and map again what is a pre-token already; every byte and character comes out the same."""
+    own, library = packed.Tokens(PATH), Tokenizer.from_file(PATH)
+    assert own.single.pre_tokenizer is None
+    assert set(packed.BYTES) == set(pre_tokenizers.ByteLevel.alphabet()) and len(packed.BYTES) == 256
+    cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    texts = ["".join(map(chr, range(a, a + 64))) for a in range(0, 0x250, 64)] + [" été\x00\xad\xa0 ‘x’ … €", "x" * 500, " Straße 12.5", ""]
+    assert all(packed.bytewise(t) == "".join(p for p, _ in cut.pre_tokenize_str(t)) for t in texts)
+    found = [np.frombuffer(f, "<u4").tolist() for f in own.encode(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_written_and_read(spark, monkeypatch):
     rows = samples.awkward(spark).repartition(5)
     folder, files = packed.write(rows, PATH, 0, 50_257, block_ids=512)
