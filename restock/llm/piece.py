@@ -7,7 +7,8 @@ import functools
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import compress
+from operator import not_
 
 import ahocorasick
 import numpy as np
@@ -19,9 +20,10 @@ MARK = "▁"
 UNKNOWN = " ⁇ "
 SEGMENT = re.compile(" *[^ ]+| +")
 APART = "\ud800"
-KEPT = 60_000
+KEPT = 200_000
 KEPT_CHARS = 48
 PAIRS = 200_000
+NONE: dict[str, bool] = {}
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -51,7 +53,7 @@ class Encoder:
         self.begin, self.end, self.unknown = model.bos_id(), model.eos_id(), model.unk_id()
         self.surface = [b""] * count
         self.marked: set[int] = set()
-        self.control = [i for i in range(count) if model.is_control(i)]
+        self.silent = np.array([model.is_control(i) for i in range(count)], bool)
         self.ids: dict[str, int] = {}
         self.byte = [self.unknown] * 256
         for i in range(count):
@@ -76,7 +78,8 @@ class Encoder:
             self.matches.add_word(p, (p, len(p) - 1))
         self.matches.make_automaton()
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), "") for p in self.ids}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[str, dict[str, bool]] = {}  # by the piece before, then by piece
+        self.known = 0  # pairs in there
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -103,19 +106,19 @@ class Encoder:
     def _path(self, longest: list[str], at: int, end: int) -> list[str]:
         """The pieces from ``at`` to ``end``."""
         fits, shorter, path, begin, failed = self.fits, self.shorter, [], at, None
-        before, piece = "", longest[at]
+        before, piece, row = "", longest[at], fits.get("", NONE)
         while True:
             if piece:
                 stop = at + len(piece)
                 if failed is None or not failed[(stop - begin) >> 3] >> ((stop - begin) & 7) & 1:
-                    ok = fits.get((before, piece))
+                    ok = row.get(piece)
                     if ok is None:
                         ok = self._fit(before, piece)
                     if ok:
                         path.append(piece)
                         if stop == end:
                             return path
-                        at, before, piece = stop, piece, longest[stop]
+                        at, before, piece, row = stop, piece, longest[stop], fits.get(piece, NONE)
                         continue
                 piece = shorter.get(piece) or (piece[0] if len(piece) > 1 else "")
                 continue
@@ -127,13 +130,16 @@ class Encoder:
             last = path.pop()
             at -= len(last)
             before = path[-1] if path else ""
+            row = fits.get(before, NONE)
             piece = shorter.get(last) or (last[0] if len(last) > 1 else "")
 
     def _fit(self, before: str, piece: str) -> bool:
         """Whether the two, merged again, come out as themselves; at a text's start, whether the piece does."""
-        if len(self.fits) >= PAIRS:
+        if self.known >= PAIRS:
             self.fits.clear()
-        found = self.fits[before, piece] = self._merges(before + piece) == ([before, piece] if before else [piece])
+            self.known = 0
+        self.known += 1
+        found = self.fits.setdefault(before, {})[piece] = self._merges(before + piece) == ([before, piece] if before else [piece])
         return found
 
     def pieces(self, text: str) -> list[str]:
@@ -146,41 +152,54 @@ class Encoder:
             ids = [i for p, k in zip(path, ids, strict=True) for i in ([self.byte[b] for b in p.encode("utf-8", "replace")] if k is None else [k])]
         return array("I", ids).tobytes()
 
-    def _known(self, words: Iterable[str]) -> dict[str, bytes]:
-        """A dict that has all the words; new ones are matched in one go, each after a character that no text has."""
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """The words of a text, each without the space that it begins with once the text is marked."""
+        if "  " in text or text[:1] == " " or text[-1:] == " ":
+            return [w[1:] for w in SEGMENT.findall(" " + text)]
+        return text.split(" ") if text else []
+
+    def _joined(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of each text's words.  A word is looked up once, and again only in texts that have new ones.
+
+        New ones are matched in one go, each after a character that no text has.
+        """
         if len(self.young) >= KEPT:
             self.old, self.young = self.young, {}
-        own, old, new = self.young, self.old, []
-        for w in set(words).difference(own):
-            ids = old.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                own[w] = ids
-        longest, at, long = self._longest(APART.join(new)), 0, {}
+        own, old, late = self.young, self.old, {}
+        parts = [list(map(own.get, words)) for words in cut]
+        for words, found in zip(cut, parts, strict=True):
+            late.update(dict.fromkeys(compress(words, map(not_, found))))
+        for w in late:
+            late[w] = old.get(w)
+        new = [w for w, ids in late.items() if ids is None]
+        longest, at = self._longest("".join([APART + " " + w for w in new])), 0
         for w in new:
-            end = at + len(w)
-            (own if len(w) <= KEPT_CHARS else long)[w] = self._ids(self._path(longest, at, end))
-            at = end + 1
-        return own | long if long else own
+            at, end = at + 1, at + len(w) + 2
+            late[w] = self._ids(self._path(longest, at, end))
+            at = end
+        own.update((w, ids) for w, ids in late.items() if len(w) <= KEPT_CHARS)
+        return [
+            b"".join(found if all(found) else [ids or late[w] for w, ids in zip(words, found, strict=True)])
+            for words, found in zip(cut, parts, strict=True)
+        ]
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """All ids of each text, begin and end included, as little-endian unsigned 32-bit integers."""
         begin, end = array("I", [self.begin]).tobytes(), array("I", [self.end]).tobytes()
-        marked = [" " + t.replace(MARK, " ") if t else "" for t in texts]
+        plain = [t.replace(MARK, " ") if t else "" for t in texts]
         if not self.by_word:
-            return [begin + self._ids(self.pieces(t)) + end for t in marked]
-        cut = [SEGMENT.findall(t) for t in marked]
-        get = self._known(chain.from_iterable(cut)).__getitem__
-        return [b"".join([begin, *map(get, words), end]) for words in cut]
+            return [begin + self._ids(self.pieces(" " + t if t else "")) + end for t in plain]
+        return [begin + ids + end for ids in self._joined(list(map(self._cut, plain)))]
 
     def decode(self, data: bytes) -> str:
         """The text of ids: control ids are silent, runs of byte pieces are UTF-8, one mark at the start goes."""
         ids = np.frombuffer(data, "<u4")
-        cuts = np.flatnonzero(np.isin(ids, self.control))
-        runs = [r[np.isin(r, self.control, invert=True)].tolist() for r in np.split(ids, cuts)]  # a control id ends a run
-        text = "".join(b"".join(map(self.surface.__getitem__, r)).decode("utf-8", "each_byte") for r in runs)
-        first = next((r[0] for r in runs if r), None)
+        cuts = np.flatnonzero(self.silent[ids]).tolist()  # a control id ends a run
+        ids = ids.tolist()
+        runs = [r for a, b in zip([-1, *cuts], [*cuts, len(ids)], strict=True) if (r := ids[a + 1 : b])]
+        text = "".join([b"".join(map(self.surface.__getitem__, r)).decode("utf-8", "each_byte") for r in runs])
+        first = runs[0][0] if runs else None
         return text[1:] if first in self.marked else text
 
 

@@ -53,6 +53,17 @@ def test_words_met_before_make_no_difference(encoder, monkeypatch):
             same(encoder, t)
 
 
+def test_a_known_word_is_cut_and_looked_up_without_being_gathered(encoder, monkeypatch):
+    """Plain texts are cut at single spaces, others by the pattern; both find the same words, also long and new ones."""
+    texts = ["to be", "to  be", " to be", "to be ", "to \n be", " ", "  ", "be " + "x" * 60, "▁to▁be", None, ""]
+    cut = [encoder._cut((t or "").replace("▁", " ")) for t in texts]
+    assert cut[:4] == [["to", "be"], ["to", " be"], [" to", "be"], ["to", "be", ""]] and cut[5:7] == [[" "], ["  "]] and cut[-2:] == [[], []]
+    encoder.encode(texts)
+    monkeypatch.setattr(encoder, "_path", None)
+    known = [t for t in texts if t is None or "x" not in t]
+    assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(known)] == [LIBRARY.encode(t or "", add_bos=True, add_eos=True) for t in known]
+
+
 def test_a_whole_text_without_words_apart(encoder, monkeypatch):
     monkeypatch.setattr(encoder, "by_word", False)
     same(encoder, "no  merge crosses \n the start   of a word " + "ab " * 500)
