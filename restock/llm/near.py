@@ -292,6 +292,19 @@ def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def rare_shingles(each: DataFrame, most: int) -> DataFrame:
+    """(class, shingle, times) of the distinct rows (class, shingle) whose shingle comes ``most`` times at most.
+
+    Of a shingle that comes once or twice, the least and the greatest class are all; only others meet their rows again.
+    """
+    times = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("class").alias("low"), F.max("class").alias("high"))
+    times = stage(times.filter(F.col("times") <= most), "near-times")
+    one = times.filter("times <= 2").select(F.col("low").alias("class"), "shingle", "times")
+    two = times.filter("times = 2").select(F.col("high").alias("class"), "shingle", "times")
+    more = each.join(times.filter("times > 2").select("shingle", "times"), "shingle").select("class", "shingle", "times")
+    return one.unionByName(two).unionByName(more)
+
+
 class Links:
     """Links between the rows of a written table (at, id, text); ``at`` is unique.
 
@@ -369,8 +382,7 @@ class Links:
         texts = self._texts(asked.select("class")).join(asked.select(F.col("class").alias("at")), "at", "left_semi")
         each = texts.select(F.col("at").alias("class"), F.explode(_shingle_hashes(F.col("text"), self.width)).alias("shingle"))
         each = stage(each, "near-crowd-shingles")
-        times = each.groupBy("shingle").agg(F.count("*").alias("times")).filter(F.col("times") <= RARE)
-        found = stage(each.join(times, "shingle"), "near-rare")
+        found = stage(rare_shingles(each, RARE), "near-rare")
         self.rare = found.filter("times > 1").select("class", "shingle")
         own = found.groupBy("class").agg(F.count("*").alias("own"), F.sum((F.col("times") > 1).cast("long")).alias("few"))
         counted = asked.join(self.signed.select("class", "n"), "class").join(own, "class", "left")
@@ -413,7 +425,8 @@ class Links:
         met = headed.join(others(headed.filter("root <> top"), "key"), "key")
         within = met.filter(self._possible() & once & near & _not_before(self.distance, self.errors))
         # Pairs that only the rare shingles they share may make similar enough.
-        known = members.filter("common is not null").select("class", "root", *SKETCH, *COUNTED).distinct()
+        able = (F.col("common") + F.col("few")) * 100 >= F.col("n") * self.percent  # two similar sets share as much of either
+        known = members.filter(F.col("common").isNotNull() & able).select("class", "root", *SKETCH, *COUNTED).distinct()
         rare = stage(self.rare.join(known, "class"), "near-rare-members")
         may = self._possible(F.least("few", "lead_few")) & ~self._possible()
         sharing = rare.join(others(rare, "shingle"), "shingle").filter((F.col("class") < F.col("other")) & may & near)

@@ -1,6 +1,7 @@
 """Links and components are those of comparing all sets."""
 
 import random
+from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
@@ -99,6 +100,18 @@ def test_keys_take_one_worker_a_task_and_one_shuffle(spark, monkeypatch):
     assert [n for n, _ in nodes(both)].count("ReusedExchange") == 1
 
 
+def test_rare_shingles(spark):
+    """What only one or two have is not joined; that is most of what a crowd of edited copies has."""
+    rows = [(c, 1000 * c + i) for c in range(20) for i in range(50)] + [(c, -c // 2) for c in range(20)]
+    rows += [(c, -100 - c // 4) for c in range(20)] + [(c, -200) for c in range(20)]
+    each = near.stage(spark.createDataFrame(rows, "class long, shingle long"), "test-shingles")
+    times = Counter(s for _, s in rows)
+    found = near.rare_shingles(each, 4)
+    assert sorted(map(tuple, found.collect())) == sorted((c, s, times[s]) for c, s in rows if times[s] <= 4)
+    assert sum(n for name, n in nodes(found) if "Join" in name) == sum(2 < times[s] <= 4 for _, s in rows)
+    assert near.rare_shingles(each.limit(0), 4).collect() == []
+
+
 def brute(rows, width, percent=80):
     sets = [near.shingles(t, width) for _, t in rows]
     root = list(range(len(rows)))
